@@ -23,19 +23,20 @@ def kaplan_meier(sample: DataFrame, keys: Sequence[str] = ("node_id",),
     factors is a running sum of logarithms; a factor of zero is tracked separately.
     """
     keys = list(keys)
-    events = sample.where(F.col("kind") == "in").select(*keys, "value", F.col("weight").alias("ev"), F.lit(0.0).alias("ce"))
-    censors = sample.where(F.col("kind") == "right").select(*keys, "value", F.lit(0.0).alias("ev"), F.col("weight").alias("ce"))
+    # Left-censored rows sit at a few limits per key; their weight moves to the smallest one.
     left = (
         sample.where(F.col("kind") == "left").groupBy(*keys)
-        .agg(F.min("value").alias("value"), F.sum("weight").alias("ev")).withColumn("ce", F.lit(0.0))
+        .agg(F.min("value").alias("value"), F.sum("weight").alias("weight")).withColumn("kind", F.lit("left"))
     )
-    timeline = events.unionByName(censors).unionByName(left).groupBy(*keys, "value").agg(
-        F.sum("ev").alias("ev"), F.sum("ce").alias("ce"))
-    totals = sample.groupBy(*keys).agg(F.sum("weight").alias("__all_weight"))
-    timeline = timeline.join(totals, keys)
-
+    rows = sample.where(F.col("kind") != "left").select(*keys, "kind", "value", "weight").unionByName(
+        left.select(*keys, "kind", "value", "weight"))
+    censored = F.col("kind") == "right"
+    timeline = rows.groupBy(*keys, "value").agg(
+        F.sum(F.when(censored, 0.0).otherwise(F.col("weight"))).alias("ev"),
+        F.sum(F.when(censored, F.col("weight")).otherwise(0.0)).alias("ce"))
     gone = F.col("ev") + F.col("ce")
-    ordered = order_rows(timeline, keys, ["value"], max_rows=max_rows).running_sum(__gone=gone)
+    ordered = order_rows(timeline, keys, ["value"], max_rows=max_rows, hold=True)
+    ordered = ordered.running_sum(__gone=gone).totals(__all_weight=F.sum(gone))
     at_risk = F.greatest(F.col("__all_weight") - (F.col("__gone") - gone), F.lit(0.0))
     hazard = F.when(at_risk > 0, F.least(F.lit(1.0), F.col("ev") / F.greatest(at_risk, F.lit(_EPS)))).otherwise(0.0)
     ordered = ordered.with_column("__hazard", hazard)

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from anemora.operators.ordered import MAX_ROWS_PER_RANGE, order_rows
+
 
 def node_spine(*tables: DataFrame, key: str = "node_id") -> DataFrame:
     """Distinct keys that occur in any table."""
@@ -129,16 +131,15 @@ def uncertainty_coverage(table: DataFrame, lower: str, upper: str, replicates: s
         F.avg(replicates).alias("mean_replicates"))
 
 
-def nested_records(obs: DataFrame, key: str, order: str, columns: Sequence[str], max_per_list: int = 50_000) -> DataFrame:
-    """Time-ordered lists of records per node.
+def nested_records(obs: DataFrame, key: str, order: Sequence[str], columns: Sequence[str], *,
+                   max_per_list: int = 50_000, max_rows: int | None = MAX_ROWS_PER_RANGE) -> DataFrame:
+    """Time-ordered lists of records per node, in numbered parts of at most ``max_per_list``.
 
-    A node's records go into as many lists as needed, by month, and a month is split by
-    arrival where ``order`` allows, so no list holds an unbounded group.  Reading the lists by
-    ``(node, part)`` gives the full ordered history.
+    A running count numbers the records of a node, so no list (and no task) holds an
+    unbounded group; the parts in order are the node's full history.
     """
-    part = F.date_trunc("MONTH", F.col(order))
-    entry = F.struct(F.col(order), *columns)
-    return (
-        obs.groupBy(key, part.alias("part"), F.date_trunc("HOUR", F.col(order)).alias("hour"))
-        .agg(F.sort_array(F.collect_list(entry)).alias("records"))
-    )
+    counted = order_rows(obs.select(key, *order, *columns), [key], list(order), max_rows=max_rows).running_sum(
+        __n=F.lit(1)).dataframe()
+    part = F.expr(f"(__n - 1) div {max_per_list}")
+    return counted.groupBy(key, part.alias("part")).agg(
+        F.sort_array(F.collect_list(F.struct(*order, *columns))).alias("records"))

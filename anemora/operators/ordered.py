@@ -1,17 +1,14 @@
 """Ordered computations per key that survive hot keys.
 
-A plain ``Window.partitionBy(node)`` puts every row of a node into one task.  Here a
-key with more than ``max_rows`` rows is cut into contiguous ranges of its order
-columns.  Windows run inside a range; what a range needs from earlier ones (a running
-total, the last known value, the last few rows) is computed from one small row per
-range and joined back.
-
-Keys below the limit never see any of this: the table of cuts is then empty and AQE
-removes the joins, which leaves an ordinary window over the key.
-
-Size bounds: at most ``rows / max_rows`` keys are hot, and all cuts together number at
-most ``rows / max_rows`` too, so the broadcast sides shrink with the limit and never
-approach the data.
+A plain ``Window.partitionBy(node)`` puts every row of a node into one task.  That is the
+cheapest plan (one shuffle, which a following aggregate by node reuses) as long as no key
+holds more than ``max_rows`` rows, so the size is checked first.  A key beyond the limit
+is cut into contiguous ranges of its order columns.  Windows then run inside a range; what
+a range needs from others (a running total, the last known value, the last few rows) is
+computed from one small row per range and joined back.
+
+Size bounds: at most ``rows / max_rows`` keys are hot, and all their cuts together number
+at most as many again, so what is collected and broadcast stays small by construction.
 """
 
 from __future__ import annotations
@@ -19,13 +16,16 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from anemora.session import checkpoint_ready
+
 MAX_ROWS_PER_RANGE = 4_000_000
 MAX_RANGES_PER_KEY = 1024
 _SAMPLES_PER_KEY = 32 * MAX_RANGES_PER_KEY
 _BLOCK = 32
+_LEAST_ROW_BYTES = 16
 
 _RANGE = "__range"
 _ALL = "__all"
@@ -33,7 +33,7 @@ _ALL = "__all"
 
 @dataclass(frozen=True)
 class OrderedRows:
-    """Rows tagged with the range they fall in; ``hot`` is the same for hot keys only."""
+    """Rows ready for ordered work; ``hot`` is None, or the rows of hot keys once more."""
 
     rows: DataFrame
     hot: DataFrame | None
@@ -41,12 +41,13 @@ class OrderedRows:
     order: tuple[str, ...]
 
     # -- plumbing ---------------------------------------------------------------
-    def _window(self, descending: bool = False) -> Window:
-        order = [F.col(c).desc() if descending else F.col(c) for c in self.order]
-        return Window.partitionBy(*self.keys, _RANGE).orderBy(*order)
+    @property
+    def _group(self) -> list[str]:
+        return [*self.keys] if self.hot is None else [*self.keys, _RANGE]
 
-    def _ranges(self) -> Window:
-        return Window.partitionBy(*self.keys).orderBy(_RANGE)
+    def _window(self, descending: bool = False) -> WindowSpec:
+        order = [F.col(c).desc() if descending else F.col(c) for c in self.order]
+        return Window.partitionBy(*self._group).orderBy(*order)
 
     def transform(self, change: Callable[[DataFrame], DataFrame]) -> "OrderedRows":
         """Apply a row-wise change that keeps keys and order columns."""
@@ -55,144 +56,153 @@ class OrderedRows:
     def with_column(self, name: str, value: Column) -> "OrderedRows":
         return self.transform(lambda df: df.withColumn(name, value))
 
-    def _attach(self, inner: dict[str, Column], carry: DataFrame | None,
-                merge: Callable[[str], Column]) -> "OrderedRows":
-        on = [*self.keys, _RANGE]
+    def dataframe(self) -> DataFrame:
+        return self.rows.drop(_RANGE, _ALL)
+
+    def _combine(self, inner: dict[str, Column], carry: Callable[[DataFrame], DataFrame],
+                 merge: Callable[[Column, Column], Column]) -> "OrderedRows":
+        """Window columns inside a range, merged with what the other ranges contribute."""
+        if self.hot is None:
+            return self.transform(lambda df: df.withColumns(inner))
+        carried = carry(self.hot)
 
         def apply(df: DataFrame) -> DataFrame:
-            out = df.withColumns(inner)
-            if carry is None:
-                return out
-            out = out.join(F.broadcast(carry), on, "left")
-            out = out.withColumns({name: merge(name) for name in inner})
-            return out.drop(*[f"__carry_{name}" for name in inner])
+            out = df.withColumns(inner).join(F.broadcast(carried), self._group, "left")
+            out = out.withColumns({n: merge(F.col(n), F.col(f"__carry_{n}")) for n in inner})
+            return out.drop(*[f"__carry_{n}" for n in inner])
 
         return self.transform(apply)
 
-    def dataframe(self) -> DataFrame:
-        return self.rows.drop(_RANGE, _ALL)
+    def _other_ranges(self, hot: DataFrame, per_range: dict[str, Column], across: Callable[[Column], Column],
+                      after: bool = False) -> DataFrame:
+        """One row per range, then a window over the ranges of a key that lie before (or after)."""
+        edge = hot.groupBy(*self._group).agg(*[c.alias(n) for n, c in per_range.items()])
+        ranges = Window.partitionBy(*self.keys).orderBy(F.col(_RANGE).desc() if after else F.col(_RANGE))
+        frame = ranges.rowsBetween(Window.unboundedPreceding, -1)
+        return edge.select(*self._group, *[across(F.col(n)).over(frame).alias(f"__carry_{n}") for n in per_range])
 
     # -- operators --------------------------------------------------------------
-    def running_sum(self, inclusive: bool = True, **columns: Column) -> "OrderedRows":
-        """Cumulative sums along the order, up to and with (or without) the current row."""
-        frame = self._window().rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
-        inner = {n: F.coalesce(F.sum(c).over(frame), F.lit(0)) for n, c in columns.items()}
-        carry = None
-        if self.hot is not None:
-            before = self._ranges().rowsBetween(Window.unboundedPreceding, -1)
-            totals = self.hot.groupBy(*self.keys, _RANGE).agg(*[F.sum(c).alias(n) for n, c in columns.items()])
-            carry = totals.select(
-                *self.keys, _RANGE,
-                *[F.sum(n).over(before).alias(f"__carry_{n}") for n in columns],
-            ).where(F.col(_RANGE) > 0)
-        return self._attach(inner, carry, lambda n: F.col(n) + F.coalesce(F.col(f"__carry_{n}"), F.lit(0)))
-
-    def running_max(self, **columns: Column) -> "OrderedRows":
+    def running_sum(self, **columns: Column) -> "OrderedRows":
+        """Cumulative sums along the order, current row included."""
         frame = self._window().rowsBetween(Window.unboundedPreceding, 0)
-        inner = {n: F.max(c).over(frame) for n, c in columns.items()}
-        carry = None
-        if self.hot is not None:
-            before = self._ranges().rowsBetween(Window.unboundedPreceding, -1)
-            totals = self.hot.groupBy(*self.keys, _RANGE).agg(*[F.max(c).alias(n) for n, c in columns.items()])
-            carry = totals.select(
-                *self.keys, _RANGE,
-                *[F.max(n).over(before).alias(f"__carry_{n}") for n in columns],
-            ).where(F.col(_RANGE) > 0)
-        return self._attach(inner, carry, lambda n: F.greatest(F.col(n), F.col(f"__carry_{n}")))
+        return self._combine(
+            {n: F.sum(c).over(frame) for n, c in columns.items()},
+            lambda hot: self._other_ranges(hot, {n: F.sum(c) for n, c in columns.items()}, F.sum),
+            lambda own, carry: own + F.coalesce(carry, F.lit(0)))
 
     def last_known(self, **columns: Column) -> "OrderedRows":
         """Latest non-null value at or before the row."""
-        return self._nearest_known(columns, forward=False)
+        return self._known(columns, ahead=False)
 
     def next_known(self, **columns: Column) -> "OrderedRows":
-        """Earliest non-null value at or after the row."""
-        return self._nearest_known(columns, forward=True)
-
-    def _nearest_known(self, columns: dict[str, Column], forward: bool) -> "OrderedRows":
-        # Looking ahead runs as a running "last known" over the reversed order: a frame up to
-        # UNBOUNDED FOLLOWING would be re-evaluated for every row.
-        frame = self._window(descending=forward).rowsBetween(Window.unboundedPreceding, 0)
-        inner = {n: F.last(c, ignorenulls=True).over(frame) for n, c in columns.items()}
-        carry = None
-        if self.hot is not None:
-            position = F.struct(*self.order)
-            by = F.min_by if forward else F.max_by
-            edge = self.hot.groupBy(*self.keys, _RANGE).agg(
-                *[by(c, F.when(c.isNotNull(), position)).alias(n) for n, c in columns.items()]
-            )
-            ranges = Window.partitionBy(*self.keys).orderBy(F.col(_RANGE).desc() if forward else F.col(_RANGE))
-            earlier = ranges.rowsBetween(Window.unboundedPreceding, -1)
-            carry = edge.select(
-                *self.keys, _RANGE,
-                *[F.last(n, ignorenulls=True).over(earlier).alias(f"__carry_{n}") for n in columns],
-            )
-        return self._attach(inner, carry, lambda n: F.coalesce(F.col(n), F.col(f"__carry_{n}")))
+        """Earliest non-null value at or after the row.
+
+        Runs as "last known" over the reversed order: a frame up to UNBOUNDED FOLLOWING
+        would be evaluated anew for every row.
+        """
+        return self._known(columns, ahead=True)
+
+    def _known(self, columns: dict[str, Column], ahead: bool) -> "OrderedRows":
+        frame = self._window(descending=ahead).rowsBetween(Window.unboundedPreceding, 0)
+        position, pick = F.struct(*self.order), F.min_by if ahead else F.max_by
+        return self._combine(
+            {n: F.last(c, ignorenulls=True).over(frame) for n, c in columns.items()},
+            lambda hot: self._other_ranges(
+                hot, {n: pick(c, F.when(c.isNotNull(), position)) for n, c in columns.items()},
+                lambda c: F.last(c, ignorenulls=True), after=ahead),
+            F.coalesce)
 
     def lag(self, **columns: tuple[Column, int]) -> "OrderedRows":
         """Value ``k`` rows earlier; ``columns`` maps a name to ``(column, k)``."""
-        depth = max(k for _, k in columns.values())
+        shifted = {n: F.lag(c, k).over(self._window()) for n, (c, k) in columns.items()}
         if self.hot is None:
-            return self.transform(lambda df: df.withColumns(
-                {n: F.lag(c, k).over(self._window()) for n, (c, k) in columns.items()}))
+            return self.transform(lambda df: df.withColumns(shifted))
         # The last rows of a range also take part, unseen, in the next range.
+        depth = max(k for _, k in columns.values())
         tails = (
             self.hot.withColumn("__back", F.row_number().over(self._window(descending=True)))
             .where(F.col("__back") <= depth).drop("__back")
-            .withColumn(_RANGE, F.col(_RANGE) + 1)
-            .withColumn("__guest", F.lit(True))
+            .withColumn(_RANGE, F.col(_RANGE) + 1).withColumn("__guest", F.lit(True))
         )
 
         def apply(df: DataFrame) -> DataFrame:
             joined = df.withColumn("__guest", F.lit(False)).unionByName(tails)
-            out = joined.withColumns({n: F.lag(c, k).over(self._window()) for n, (c, k) in columns.items()})
-            return out.where(~F.col("__guest")).drop("__guest")
+            return joined.withColumns(shifted).where(~F.col("__guest")).drop("__guest")
 
         return self.transform(apply)
 
+    def totals(self, **aggregates: Column) -> "OrderedRows":
+        """Aggregates over all rows of the key, added to each row."""
+        if self.hot is None:
+            whole = Window.partitionBy(*self.keys)
+            return self.transform(lambda df: df.withColumns({n: a.over(whole) for n, a in aggregates.items()}))
+        per_key = self.hot.groupBy(*self.keys).agg(*[a.alias(n) for n, a in aggregates.items()])
+        rest = self.rows.join(F.broadcast(per_key.select(*self.keys)), list(self.keys), "left_anti")
+        others = rest.groupBy(*self.keys).agg(*[a.alias(n) for n, a in aggregates.items()])
+        both = per_key.unionByName(others)
+        return self.transform(lambda df: df.join(both, list(self.keys)))
+
 
 def order_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], *,
-               max_rows: int | None = MAX_ROWS_PER_RANGE, depth: int = 1) -> OrderedRows:
+               max_rows: int | None = MAX_ROWS_PER_RANGE, depth: int = 1, hold: bool = False) -> OrderedRows:
     """Prepare ``df`` for ordered computations.
 
-    ``max_rows=None`` states that the caller has a bound on the rows per key (months of
-    a calendar, sectors of a compass) and no cutting is wanted.  ``depth`` is the largest
-    lag that will be asked for.  Rows with equal order values stay in one range, so give a
-    tie-breaking id where many rows may share a position.
+    ``max_rows=None`` states that the caller has a bound on the rows per key (months of a
+    calendar, sectors of a compass).  ``depth`` is the largest lag that will be asked for.
+    ``hold`` checkpoints a computed input when hot keys make it needed several times.  Rows
+    with equal order values stay in one range, so give a tie-breaking id where many rows may
+    share a position.
     """
     keys, order = list(keys), list(order)
     if not keys:
         df, keys = df.withColumn(_ALL, F.lit(0)), [_ALL]
-    if max_rows is None:
-        return OrderedRows(df.withColumn(_RANGE, F.lit(0)), None, tuple(keys), tuple(order))
-    cuts = _range_cuts(df, keys, order, max_rows, depth)
+    plain = OrderedRows(df, None, tuple(keys), tuple(order))
+    if max_rows is None or not _may_exceed(df, max_rows):
+        return plain
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") > max_rows)
+    hot_keys = sizes.collect()  # at most rows / max_rows
+    if not hot_keys:
+        return plain
+    if hold:
+        checkpoint_ready(df.sparkSession)
+        df = df.checkpoint()
+    cuts = _range_cuts(df, df.sparkSession.createDataFrame(hot_keys, sizes.schema), keys, order, max_rows, depth)
     rows = _tag(df.join(F.broadcast(cuts), keys, "left"), order)
     hot = _tag(df.join(F.broadcast(cuts), keys, "inner"), order)
     return OrderedRows(rows, hot, tuple(keys), tuple(order))
 
 
-def _range_cuts(df: DataFrame, keys: list[str], order: list[str], max_rows: int, depth: int) -> DataFrame:
-    """Cut points per hot key, from a content-hashed sample so that retries agree."""
+def _may_exceed(df: DataFrame, max_rows: int) -> bool:
+    """False when Spark's own size estimate rules out ``max_rows`` rows, which saves a count."""
+    try:
+        estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:  # no JVM handle (Spark Connect): count
+        return True
+    return estimate > max_rows * _LEAST_ROW_BYTES
+
+
+def _range_cuts(df: DataFrame, hot: DataFrame, keys: list[str], order: list[str], max_rows: int, depth: int) -> DataFrame:
+    """Cut points per hot key from a content-hashed sample, fixed once for all uses.
+
+    The sample holds about ``_SAMPLES_PER_KEY`` positions per hot key, whatever its size.
+    """
     position = F.struct(*order)
-    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") > max_rows)
-    stride = F.greatest(F.lit(1), F.expr(f"__rows div {_SAMPLES_PER_KEY}"))
+    stride = F.greatest(F.lit(1).cast("bigint"), F.expr(f"__rows div {_SAMPLES_PER_KEY}"))
     sampled = (
-        df.select(*keys, position.alias("__position")).join(F.broadcast(hot), keys, "inner")
+        df.select(*keys, position.alias("__position")).join(F.broadcast(hot), keys)
         .where(F.pmod(F.xxhash64("__position"), stride) == 0)
         .groupBy(*keys)
         .agg(F.max("__rows").alias("__rows"), F.sort_array(F.collect_set("__position")).alias("__sample"))
     )
-    wanted = F.least(
-        F.lit(MAX_RANGES_PER_KEY),
-        F.ceil(F.col("__rows") / max_rows).cast("int"),
-        F.expr(f"cast(size(__sample) div {max(1, depth)} as int)"),
-    )
-    cuts = sampled.withColumn("__wanted", wanted).where(F.col("__wanted") > 1).select(
-        *keys,
-        F.expr("transform(sequence(1, __wanted - 1), i -> "
-               "element_at(__sample, cast(cast(i as bigint) * size(__sample) div __wanted as int)))").alias("__cuts"),
-    )
-    coarse = F.expr(f"filter(__cuts, (c, i) -> i % {_BLOCK} = {_BLOCK - 1})")
-    return cuts.withColumn("__coarse", coarse)
+    wanted = F.greatest(F.lit(1), F.least(
+        F.lit(MAX_RANGES_PER_KEY), F.ceil(F.col("__rows") / max_rows).cast("int"),
+        F.expr(f"cast(size(__sample) div {max(1, depth)} as int)")))
+    cut = F.expr("transform(sequence(0, __wanted - 1), i -> "
+                 "element_at(__sample, greatest(1, cast(cast(i as bigint) * size(__sample) div __wanted as int))))")
+    table = sampled.withColumn("__wanted", wanted).withColumn("__cuts", F.slice(cut, 2, MAX_RANGES_PER_KEY))
+    table = table.withColumn("__coarse", F.expr(f"filter(__cuts, (c, i) -> i % {_BLOCK} = {_BLOCK - 1})"))
+    table = table.select(*keys, "__cuts", "__coarse")
+    return df.sparkSession.createDataFrame(table.collect(), table.schema)
 
 
 def _tag(df: DataFrame, order: list[str]) -> DataFrame:

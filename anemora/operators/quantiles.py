@@ -28,10 +28,8 @@ def value_counts(df: DataFrame, keys: Sequence[str], value: str, weight: Column
 
 def cumulative(counts: DataFrame, keys: Sequence[str], max_rows: int | None = MAX_ROWS_PER_RANGE) -> DataFrame:
     """Add ``__upto`` (cumulative weight with the row) and ``__total`` (weight of the key)."""
-    keys = list(keys)
-    running = order_rows(counts, keys, ["__value"], max_rows=max_rows).running_sum(__upto=F.col("__weight")).dataframe()
-    totals = counts.groupBy(*keys).agg(F.sum("__weight").alias("__total"))
-    return running.join(totals, keys)
+    ordered = order_rows(counts, list(keys), ["__value"], max_rows=max_rows, hold=True)
+    return ordered.running_sum(__upto=F.col("__weight")).totals(__total=F.sum("__weight")).dataframe()
 
 
 def _fraction(p: float) -> tuple[int, int]:
@@ -101,13 +99,13 @@ def weighted_quantiles(weights: DataFrame, keys: Sequence[str], probabilities: d
     """
     keys = list(keys)
     positive = weights.where(F.col("__weight") > 0)
-    ordered = (
-        order_rows(positive, keys, ["__value", *tie_order], max_rows=max_rows)
+    table = (
+        order_rows(positive, keys, ["__value", *tie_order], max_rows=max_rows, hold=True)
         .running_sum(__upto=F.col("__weight"))
         .lag(__before_value=(F.col("__value"), 1))
+        .totals(__total=F.sum("__weight"), __top=F.max("__value"))
+        .dataframe()
     )
-    totals = positive.groupBy(*keys).agg(F.sum("__weight").alias("__total"), F.max("__value").alias("__top"))
-    table = ordered.dataframe().join(totals, keys)
     share = F.col("__upto") / F.col("__total")
     share_before = (F.col("__upto") - F.col("__weight")) / F.col("__total")
     picks = []

@@ -486,12 +486,13 @@ def latest_row(spark, sf_dir):
     return nodes.latest_per_key(obs(spark, sf_dir).select("node_id", "event_id", "timestamp", "pred_wind_speed"), "node_id", "event_id")
 
 
-@query("nested_records", f"""WITH {OBS} SELECT node_id, CAST(date_trunc('hour', "timestamp") AS TIMESTAMP) AS hour, count(*) AS records,
-  min("timestamp") AS first_ts, max("timestamp") AS last_ts, list_sum(list(pred_wind_speed ORDER BY "timestamp")) AS total_speed FROM obs GROUP BY 1, 2""", "total_speed")
+@query("nested_records", f"""WITH {OBS}, n AS (SELECT *, (row_number() OVER (PARTITION BY node_id ORDER BY "timestamp", event_id) - 1) // 200 AS part FROM obs)
+  SELECT node_id, part, count(*) AS records, min("timestamp") AS first_ts, max("timestamp") AS last_ts, sum(pred_wind_speed) AS total_speed
+  FROM n GROUP BY 1, 2""", "total_speed")
 def nested_records(spark, sf_dir):
-    lists = nodes.nested_records(obs(spark, sf_dir), "node_id", "timestamp", ["event_id", "pred_wind_speed"])
+    lists = nodes.nested_records(obs(spark, sf_dir), "node_id", ["timestamp", "event_id"], ["pred_wind_speed"], max_per_list=200)
     speeds = F.filter("records.pred_wind_speed", lambda v: v.isNotNull())
     return lists.select(
-        "node_id", F.col("hour").cast("timestamp_ntz").alias("hour"), F.size("records").cast("bigint").alias("records"),
+        "node_id", "part", F.size("records").cast("bigint").alias("records"),
         F.element_at("records.timestamp", 1).alias("first_ts"), F.element_at("records.timestamp", -1).alias("last_ts"),
-        F.when(F.size(speeds) > 0, F.aggregate(speeds, F.lit(0.0), lambda a, v: a + v)).alias("total_speed"))
+        F.aggregate(speeds, F.lit(0.0), lambda a, v: a + v).alias("total_speed"))
