@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from anemora.config import RangeThresholds
@@ -67,12 +67,18 @@ def probability(value: Column) -> Column:
     return F.greatest(F.least(number, F.lit(1.0)), F.lit(0.0))
 
 
-def posterior_columns(below: str = "prob_range_below", inside: str = "prob_range_in",
-                      above: str = "prob_range_above") -> dict[str, Column]:
-    """Clamped posteriors normalised to one; all null where they sum to nothing."""
-    parts = {"below": probability(F.col(below)), "in": probability(F.col(inside)), "above": probability(F.col(above))}
-    total = parts["below"] + parts["in"] + parts["above"]
-    return {name: F.when(total > 0, part / total) for name, part in parts.items()}
+def with_posteriors(df: DataFrame, below: str = "prob_range_below", inside: str = "prob_range_in",
+                    above: str = "prob_range_above") -> DataFrame:
+    """Add ``p_below, p_in, p_above``: clamped and normalised to one, null where they sum to nothing."""
+    parts = {"p_below": below, "p_in": inside, "p_above": above}
+    out = df.withColumns({name: probability(F.col(source)) for name, source in parts.items()})
+    out = out.withColumn("__mass", F.col("p_below") + F.col("p_in") + F.col("p_above"))
+    return out.withColumns({name: F.when(F.col("__mass") > 0, F.col(name) / F.col("__mass")) for name in parts}).drop("__mass")
+
+
+def posterior() -> dict[str, Column]:
+    """The columns added by :func:`with_posteriors`."""
+    return {"below": F.col("p_below"), "in": F.col("p_in"), "above": F.col("p_above")}
 
 
 def hard_label(flag: Column, confident: Column, posterior: dict[str, Column], min_confidence: float) -> Column:

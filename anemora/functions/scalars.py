@@ -5,8 +5,9 @@ from __future__ import annotations
 import math
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from anemora.config import Height, PowerCurve, TaxonomyBands
 
@@ -118,6 +119,13 @@ def number(text: Column) -> Column:
     return F.nullif(F.trim(text.cast("string")), F.lit("")).try_cast("double")
 
 
+def numeric(df: DataFrame, name: str) -> Column:
+    """A column as double; text is read leniently, numbers are taken as they are."""
+    if isinstance(df.schema[name].dataType, T.NumericType):
+        return F.col(name).cast("double")
+    return number(F.col(name))
+
+
 def truth(text: Column) -> Column:
     """Spellings of yes to true, everything else to false, null stays null."""
     return F.when(text.isNotNull(), F.lower(F.trim(text.cast("string"))).isin("true", "1", "yes", "on"))

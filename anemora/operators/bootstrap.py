@@ -27,10 +27,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from anemora.config import BootstrapConfig
-from anemora.functions.labels import posterior_columns, stratum
-from anemora.functions.scalars import is_finite, micros, number
+from anemora.functions.labels import hard_label, posterior, stratum, with_posteriors
+from anemora.functions.scalars import is_finite, micros, numeric
 from anemora.functions.special import log_gamma_udf
-from anemora.operators.censored import record_weights
+from anemora.operators.grouped import hot_keys, spread
 from anemora.operators.ordered import MAX_ROWS_PER_RANGE, order_rows
 from anemora.operators.power import weibull_third_moment
 from anemora.operators.quantiles import weighted_quantiles
@@ -205,43 +205,43 @@ class _Records:
 
 def _prepared(obs: DataFrame, config: BootstrapConfig, tie: str | None) -> DataFrame:
     """Records with weights, posteriors, stratum; speeds stay raw because noise comes first."""
-    p = posterior_columns()
-    raw = number(F.col("pred_wind_speed"))
-    clamped = F.greatest(F.lit(config.thresholds.lower), F.least(F.lit(config.thresholds.upper), raw))
-    rows = obs.withColumns({
-        "raw": F.when(is_finite(raw), raw), "pred_wind_speed": F.when(is_finite(raw), clamped),
-        "us": F.coalesce(micros(F.col("timestamp")), F.lit(0)),
-        "tie": F.col(tie).cast("bigint") if tie else F.lit(0).cast("bigint"),
-        "stratum": stratum(F.col("range_flag"), F.col("range_flag_confident"), p, config.min_confidence),
-        **{name: F.coalesce(value, F.lit(0.0)) for name, value in (("pb", p["below"]), ("pi", p["in"]), ("pa", p["above"]))},
-    })
-    weighted = record_weights(rows, config.min_confidence)
+    finite = is_finite(F.col("raw"))
+    clamped = F.greatest(F.lit(config.thresholds.lower), F.least(F.lit(config.thresholds.upper), F.col("raw")))
+    rows = with_posteriors(obs.withColumn("raw", numeric(obs, "pred_wind_speed")))
+    rows = rows.select(
+        "node_id", F.coalesce(micros(F.col("timestamp")), F.lit(0)).alias("us"),
+        (F.col(tie).cast("bigint") if tie else F.lit(0).cast("bigint")).alias("tie"),
+        F.when(finite, F.col("raw")).alias("raw"), F.when(finite, clamped).alias("v"),
+        stratum(F.col("range_flag"), F.col("range_flag_confident"), posterior(), config.min_confidence).alias("stratum"),
+        hard_label(F.col("range_flag"), F.col("range_flag_confident"), posterior(), config.min_confidence).alias("hard"),
+        F.col("p_in").isNotNull().cast("double").alias("used"),
+        *[F.coalesce(p, F.lit(0.0)).alias(n) for n, p in zip(("pb", "pi", "pa"), posterior().values())])
     # Records without a posterior are never evaluated but do take part in the draws.
-    dropped = rows.where(F.col("pb") + F.col("pi") + F.col("pa") <= 0)
-    columns = ["node_id", "us", "tie", "raw", "stratum", "pb", "pi", "pa"]
-    weights = ["w_in", "w_left", "w_right", "s_in"]
-    return weighted.select(*columns, *weights, F.lit(1.0).alias("used")).unionByName(
-        dropped.select(*columns, *[F.lit(0.0).alias(w) for w in weights], F.lit(0.0).alias("used")))
+    def weight(name, share):
+        return F.when(F.col("used") == 0, 0.0).when(F.col("hard") == name, 1.0).when(
+            F.col("hard").isNull(), F.col(share)).otherwise(0.0)
+
+    return rows.withColumns({
+        "s_in": weight("in", "pi"), "w_left": weight("below", "pb"), "w_right": weight("above", "pa"),
+    }).withColumn("w_in", F.when(F.col("v").isNotNull(), F.col("s_in")).otherwise(0.0)).drop("v", "hard")
 
 
 def replicate_table(obs: DataFrame, config: BootstrapConfig, tie: str | None = None,
                     max_records: int | None = MAX_RECORDS_PER_TASK) -> DataFrame:
     """``(node_id, replica, metrics…)``; replica -1 is the estimate from the records themselves."""
     rows = _prepared(obs, config, tie)
-    if max_records is None:
-        return _gathered(rows, config)
-    sizes = rows.groupBy("node_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max_records).select("node_id")
-    hot = rows.sparkSession.createDataFrame(sizes.collect(), sizes.schema)  # at most rows / max_records nodes
-    if hot.isEmpty():
+    hot = hot_keys(rows, ["node_id"], max_records)
+    if hot is None:
         return _gathered(rows, config)
-    small = _gathered(rows.join(F.broadcast(hot), "node_id", "left_anti"), config)
-    return small.unionByName(_spread(rows.join(F.broadcast(hot), "node_id", "left_semi"), config))
+    heavy = F.broadcast(hot.select("node_id"))
+    small = _gathered(rows.join(heavy, "node_id", "left_anti"), config)
+    return small.unionByName(_spread(rows.join(heavy, "node_id", "left_semi"), config))
 
 
 def _gathered(rows: DataFrame, config: BootstrapConfig) -> DataFrame:
     """Nodes that fit a task.  Each node goes to several tasks, each with its share of replicates."""
     tasks = max(1, -(-config.replicas // REPLICAS_PER_TASK))
-    spread = rows.withColumn("task", F.explode(F.sequence(F.lit(0), F.lit(tasks - 1))))
+    copies = rows.withColumn("task", F.explode(F.sequence(F.lit(0), F.lit(tasks - 1))))
 
     def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         node, task = key
@@ -260,7 +260,7 @@ def _gathered(rows: DataFrame, config: BootstrapConfig) -> DataFrame:
             out.append((node, replica, mean, p50, p90, p99, density, sigma, method, clamped))
         return pd.DataFrame(out, columns=[f.strip().split(" ")[0] for f in _REPLICATE_SCHEMA.split(",")])
 
-    return spread.groupBy("node_id", "task").applyInPandas(run, _REPLICATE_SCHEMA)
+    return spread(copies, "node_id", "task").groupBy("node_id", "task").applyInPandas(run, _REPLICATE_SCHEMA)
 
 
 def _spread(rows: DataFrame, config: BootstrapConfig, chunk_size: int = DRAWS_PER_CHUNK,
@@ -496,9 +496,8 @@ def bootstrap_summary(obs: DataFrame, config: BootstrapConfig, tie: str | None =
         for part in ("estimate", "lower", "upper", "replicates", "bootstrap_estimate"):
             entries[f"{m}_{part}"] = F.max(F.when(hit, F.col(part)))
     wide = intervals.groupBy("node_id").agg(*[c.alias(n) for n, c in entries.items()])
-    p = posterior_columns()
-    label = stratum(F.col("range_flag"), F.col("range_flag_confident"), p, config.min_confidence)
-    counts = obs.select("node_id", label.alias("s")).groupBy("node_id").agg(
+    label = stratum(F.col("range_flag"), F.col("range_flag_confident"), posterior(), config.min_confidence)
+    counts = with_posteriors(obs).select("node_id", label.alias("s")).groupBy("node_id").agg(
         F.count(F.lit(1)).alias("total_samples"),
         *[F.count_if(F.col("s") == s).alias(f"label_count_{s}") for s in STRATA])
     for s in STRATA:

@@ -12,35 +12,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from anemora.config import RangeThresholds
-from anemora.functions.labels import hard_label, posterior_columns
-from anemora.functions.scalars import is_finite, number, ratio
+from anemora.functions.labels import hard_label, posterior, with_posteriors
+from anemora.functions.scalars import is_finite, numeric, ratio
 
 _SMALL = 1e-12
 
 
 def record_weights(obs: DataFrame, min_confidence: float = 0.5, *, speed: str = "pred_wind_speed",
                    flag: str = "range_flag", confident: str = "range_flag_confident") -> DataFrame:
-    """Add ``w_in, w_left, w_right`` and the usable speed ``v``.
+    """Add ``w_in, w_left, w_right``, the usable speed ``v`` and ``used``.
 
     A confident record counts fully for its class, any other splits by its posterior.  An
-    in-range weight needs a positive speed.  Records whose posteriors vanish are dropped.
+    in-range weight needs a positive speed; ``s_in`` is the same weight without that rule.
+    Records whose posteriors vanish keep zero weights and ``used = 0``: dropping them with a
+    filter would push the whole expression below every projection and evaluate it again.
     """
-    p = posterior_columns()
-    value = number(F.col(speed))
-    usable = F.when(is_finite(value) & (value > 0), value)
-    rows = obs.withColumns({"v": usable, "__b": p["below"], "__i": p["in"], "__a": p["above"]}).where(F.col("__b").isNotNull())
-    held = hard_label(F.col(flag), F.col(confident), {"below": F.col("__b"), "in": F.col("__i"), "above": F.col("__a")},
-                      min_confidence)
-    rows = rows.withColumn("hard", held)
+    usable = F.when(is_finite(F.col("v")) & (F.col("v") > 0), F.col("v"))
+    rows = with_posteriors(obs.withColumn("v", numeric(obs, speed))).withColumns({
+        "v": usable, "hard": hard_label(F.col(flag), F.col(confident), posterior(), min_confidence),
+        "used": F.col("p_in").isNotNull().cast("double")})
 
     def weight(name, share):
-        return F.when(F.col("hard") == name, 1.0).when(F.col("hard").isNull(), F.col(share)).otherwise(0.0)
+        return F.when(F.col("used") == 0, 0.0).when(F.col("hard") == name, 1.0).when(
+            F.col("hard").isNull(), F.col(share)).otherwise(0.0)
 
     return rows.withColumns({
-        "w_in": F.when(F.col("v").isNotNull(), weight("in", "__i")).otherwise(0.0),
-        "w_left": weight("below", "__b"), "w_right": weight("above", "__a"),
-        "s_in": weight("in", "__i"),
-    }).drop("__b", "__i", "__a")
+        "s_in": weight("in", "p_in"), "w_left": weight("below", "p_below"), "w_right": weight("above", "p_above"),
+    }).withColumn("w_in", F.when(F.col("v").isNotNull(), F.col("s_in")).otherwise(0.0)).drop("p_below", "p_in", "p_above")
 
 
 def censored_sample(obs: DataFrame, bounds: RangeThresholds = RangeThresholds(), min_confidence: float = 0.5,
@@ -90,7 +88,7 @@ def selection_summary(obs: DataFrame, min_confidence: float = 0.5, keys: Sequenc
     """
     rows = record_weights(obs, min_confidence)
     out = rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).cast("double").alias("total_observations"),
+        F.sum("used").alias("total_observations"),
         F.sum("w_left").alias("__below"), F.sum("s_in").alias("__in"), F.sum("w_right").alias("__above"))
     total = F.col("total_observations")
     return out.select(

@@ -19,13 +19,13 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from anemora.operators.grouped import hot_keys
 from anemora.session import checkpoint_ready
 
 MAX_ROWS_PER_RANGE = 4_000_000
 MAX_RANGES_PER_KEY = 1024
 _SAMPLES_PER_KEY = 32 * MAX_RANGES_PER_KEY
 _BLOCK = 32
-_LEAST_ROW_BYTES = 16
 
 _RANGE = "__range"
 _ALL = "__all"
@@ -157,30 +157,18 @@ def order_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], *,
     if not keys:
         df, keys = df.withColumn(_ALL, F.lit(0)), [_ALL]
     plain = OrderedRows(df, None, tuple(keys), tuple(order))
-    if max_rows is None or not _may_exceed(df, max_rows):
-        return plain
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") > max_rows)
-    hot_keys = sizes.collect()  # at most rows / max_rows
-    if not hot_keys:
+    heavy = hot_keys(df, keys, max_rows)
+    if heavy is None:
         return plain
     if hold:
         checkpoint_ready(df.sparkSession)
         df = df.checkpoint()
-    cuts = _range_cuts(df, df.sparkSession.createDataFrame(hot_keys, sizes.schema), keys, order, max_rows, depth)
+    cuts = _range_cuts(df, heavy, keys, order, max_rows, depth)
     rows = _tag(df.join(F.broadcast(cuts), keys, "left"), order)
     hot = _tag(df.join(F.broadcast(cuts), keys, "inner"), order)
     return OrderedRows(rows, hot, tuple(keys), tuple(order))
 
 
-def _may_exceed(df: DataFrame, max_rows: int) -> bool:
-    """False when Spark's own size estimate rules out ``max_rows`` rows, which saves a count."""
-    try:
-        estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:  # no JVM handle (Spark Connect): count
-        return True
-    return estimate > max_rows * _LEAST_ROW_BYTES
-
-
 def _range_cuts(df: DataFrame, hot: DataFrame, keys: list[str], order: list[str], max_rows: int, depth: int) -> DataFrame:
     """Cut points per hot key from a content-hashed sample, fixed once for all uses.
 

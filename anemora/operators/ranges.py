@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from anemora.config import RangeQaThresholds, RangeThresholds
 from anemora.functions.labels import LABELS, expected_label, is_unrecognised, label, label_untrimmed
-from anemora.functions.scalars import fixed, number, ratio
+from anemora.functions.scalars import fixed, numeric, ratio
 from anemora.operators.empirical import require_columns
 
 
@@ -15,7 +15,7 @@ def labelled(obs: DataFrame, bounds: RangeThresholds = RangeThresholds(), *, lab
              speed: str = "pred_wind_speed", deterministic: str | None = None) -> DataFrame:
     """Add canonical, expected and (if given) deterministic labels."""
     require_columns(obs, [label_column, speed])
-    value = number(F.col(speed))
+    value = numeric(obs, speed)
     out = obs.withColumns({
         "range_label": label(F.col(label_column)), "expected_label": expected_label(value, bounds), "speed_value": value})
     other = label(F.col(deterministic)) if deterministic else F.lit(None).cast("string")

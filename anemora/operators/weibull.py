@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from anemora.operators.censored import sample_totals
+from anemora.operators.grouped import hot_keys, spread
 from anemora.session import checkpoint_ready
 
 # Bounds of the search and its stopping rules.
@@ -105,47 +106,56 @@ def climb(moments: Moments) -> Climb:
 
 
 # -- likelihood in numpy ---------------------------------------------------------
-def likelihood(points: Sequence[Point], kind: np.ndarray, value: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """Weighted log-likelihood and log-space gradient at each point."""
-    out = np.zeros((len(points), 3))
-    logs = {name: np.log(value[kind == name]) for name in ("in", "left", "right")}
-    w = {name: weight[kind == name] for name in logs}
-    for row, (log_k, log_s) in enumerate(points):
-        k = math.exp(log_k)
-        with np.errstate(over="ignore", under="ignore", invalid="ignore"):
-            r = logs["in"] - log_s
-            u = np.exp(k * r)
-            ll = np.dot(w["in"], log_k - log_s + (k - 1.0) * r - u)
-            dk = np.dot(w["in"], 1.0 + k * r * (1.0 - u))
-            ds = np.dot(w["in"], k * (u - 1.0))
-            r = logs["left"] - log_s
-            u = np.exp(k * r)
-            below = np.maximum(-np.expm1(-u), FLOOR)
-            pull = np.exp(-u) * u / below
-            ll += np.dot(w["left"], np.log(below))
-            dk += np.dot(w["left"], pull * k * r)
-            ds -= np.dot(w["left"], pull * k)
-            r = logs["right"] - log_s
-            u = np.exp(k * r)
-            ll -= np.dot(w["right"], u)
-            dk -= np.dot(w["right"], u * k * r)
-            ds += np.dot(w["right"], u * k)
-        out[row] = ll, dk, ds
-    return out
+class Sample:
+    """A sample in arrays.  A likelihood needs only two sums over the in-range values per shape."""
+
+    def __init__(self, kind: np.ndarray, value: np.ndarray, weight: np.ndarray) -> None:
+        inside = kind == "in"
+        self.log, self.weight = np.log(value[inside]), weight[inside]
+        self.weight_log = self.weight * self.log
+        self.total, self.total_log = float(self.weight.sum()), float(self.weight_log.sum())
+        self.moments = Moments(self.total, float(np.dot(self.weight, value[inside])),
+                               float(np.dot(self.weight, value[inside] ** 2)))
+        self.sides = {side: (np.log(value[kind == side]), weight[kind == side]) for side in ("left", "right")}
+
+    def likelihood(self, points: Sequence[Point]) -> np.ndarray:
+        """Weighted log-likelihood and log-space gradient at each point."""
+        out = np.zeros((len(points), 3))
+        for row, (log_k, log_s) in enumerate(points):
+            k = math.exp(log_k)
+            with np.errstate(over="ignore", under="ignore", invalid="ignore"):
+                u = np.exp(k * (self.log - log_s))
+                mass, mass_log = float(np.dot(self.weight, u)), float(np.dot(self.weight_log, u))
+                reach = self.total_log - self.total * log_s
+                ll = self.total * (log_k - log_s) + (k - 1.0) * reach - mass
+                dk = self.total + k * (reach - (mass_log - log_s * mass))
+                ds = k * (mass - self.total)
+                r, w = self.sides["left"][0] - log_s, self.sides["left"][1]
+                u = np.exp(k * r)
+                below = np.maximum(-np.expm1(-u), FLOOR)
+                pull = np.exp(-u) * u / below
+                ll += float(np.dot(w, np.log(below)))
+                dk += float(np.dot(w, pull * k * r))
+                ds -= float(np.dot(w, pull * k))
+                r, w = self.sides["right"][0] - log_s, self.sides["right"][1]
+                u = np.exp(k * r)
+                ll -= float(np.dot(w, u))
+                dk -= float(np.dot(w, u * k * r))
+                ds += float(np.dot(w, u * k))
+            out[row] = ll, dk, ds
+        return out
 
 
 def fit_arrays(kind: np.ndarray, value: np.ndarray, weight: np.ndarray, min_in_weight: float) -> tuple:
     """Fit one sample held in arrays."""
-    inside = kind == "in"
-    total = float(weight[inside].sum())
-    if total < min_in_weight or total <= 0:
+    sample = Sample(kind, value, weight)
+    if sample.total < min_in_weight or sample.total <= 0:
         return (None, None, None, False, False, 0, 0.0, 0.0, MESSAGES["support"])
-    v, w = value[inside], weight[inside]
-    steps = climb(Moments(total, float(np.dot(w, v)), float(np.dot(w, v * v))))
+    steps = climb(sample.moments)
     points = next(steps)
     while True:
         try:
-            points = steps.send(likelihood(points, kind, value, weight))
+            points = steps.send(sample.likelihood(points))
         except StopIteration as done:
             return done.value
 
@@ -233,18 +243,15 @@ def fit_weibull(sample: DataFrame, keys: Sequence[str] = ("node_id",), min_in_we
         return pd.DataFrame([(*key[:width], *answer)], columns=names)
 
     def gathered(rows: DataFrame) -> DataFrame:
-        return rows.groupBy(*keys).applyInPandas(fit, f"{key_fields}, {FIT_FIELDS}")
+        return spread(rows, *keys).groupBy(*keys).applyInPandas(fit, f"{key_fields}, {FIT_FIELDS}")
 
-    if max_values is None:
+    hot = hot_keys(sample, keys, max_values)
+    if hot is None:
         fits = gathered(sample)
     else:
-        sizes = sample.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > max_values).select(*keys)
-        hot = sample.sparkSession.createDataFrame(sizes.collect(), sizes.schema)  # at most rows / max_values keys
-        if hot.isEmpty():
-            fits = gathered(sample)
-        else:
-            fits = gathered(sample.join(F.broadcast(hot), keys, "left_anti")).unionByName(
-                _fit_spread(sample.join(F.broadcast(hot), keys, "left_semi"), keys, min_in_weight))
+        heavy = F.broadcast(hot.select(*keys))
+        fits = gathered(sample.join(heavy, keys, "left_anti")).unionByName(
+            _fit_spread(sample.join(heavy, keys, "left_semi"), keys, min_in_weight))
     totals = sample_totals(sample, keys).select(
         *keys, F.col("in_weight").alias("weibull_in_weight"), F.col("left_weight").alias("weibull_left_weight"),
         F.col("right_weight").alias("weibull_right_weight"))

@@ -19,14 +19,14 @@ def _k() -> F.Column:
 
 
 def obs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = _k()
+    k = F.col("k")
     kind = F.col("event_type")
     label = (
         F.when(kind == "click", "in").when(kind == "view", "IN_RANGE").when(kind == "signup", "inside")
         .when(kind == "purchase", "above")
         .otherwise(F.when(k < 50, "below").when(k < 80, "left").when(k < 90, " in "))
     )
-    return table(spark, sf_dir, "events").select(
+    return table(spark, sf_dir, "events").withColumn("k", _k()).select(
         F.concat(F.lit("NODE_"), F.lpad((F.col("user_id") % 20).cast("string"), 2, "0")).alias("node_id"),
         "event_id", F.col("ts").alias("timestamp"),
         F.when(F.col("event_id") % 97 != 0, F.col("value") / 5).alias("pred_wind_speed"),
