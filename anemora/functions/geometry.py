@@ -6,11 +6,13 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+_COORDINATES = T.StructType([T.StructField("lon", T.DoubleType()), T.StructField("lat", T.DoubleType())])
 _POINT = np.dtype([("order", "u1"), ("kind", "<u4"), ("xy", "<f8", (2,))])
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def point_wkb(lon: pd.Series, lat: pd.Series) -> pd.Series:
     """Little-endian WKB point, 21 bytes; null when a coordinate is missing."""
     x, y = lon.to_numpy(dtype=float), lat.to_numpy(dtype=float)
@@ -21,7 +23,7 @@ def point_wkb(lon: pd.Series, lat: pd.Series) -> pd.Series:
     return pd.Series([None if np.isnan(a) or np.isnan(b) else raw[i * size:(i + 1) * size] for i, (a, b) in enumerate(zip(x, y))])
 
 
-@F.pandas_udf("lon double, lat double")
+@F.pandas_udf(_COORDINATES)
 def point_coordinates(wkb: pd.Series) -> pd.DataFrame:
     """Coordinates of WKB points of either byte order; other geometries are an error."""
     out = np.full((len(wkb), 2), np.nan)

@@ -69,11 +69,17 @@ def probability(value: Column) -> Column:
 
 def with_posteriors(df: DataFrame, below: str = "prob_range_below", inside: str = "prob_range_in",
                     above: str = "prob_range_above") -> DataFrame:
-    """Add ``p_below, p_in, p_above``: clamped and normalised to one, null where they sum to nothing."""
+    """Add ``p_below, p_in, p_above``: clamped and normalised to one, null where they sum to nothing.
+
+    The result passes through a one-element generator.  Later predicates on anything derived
+    from the posteriors stop there; pushed further down they would carry a copy of the whole
+    arithmetic for every mention.  Predicates on stored columns still reach the scan.
+    """
     parts = {"p_below": below, "p_in": inside, "p_above": above}
-    out = df.withColumns({name: probability(F.col(source)) for name, source in parts.items()})
-    out = out.withColumn("__mass", F.col("p_below") + F.col("p_in") + F.col("p_above"))
-    return out.withColumns({name: F.when(F.col("__mass") > 0, F.col(name) / F.col("__mass")) for name in parts}).drop("__mass")
+    out = df.withColumns({f"__{name}": probability(F.col(source)) for name, source in parts.items()})
+    out = out.withColumn("__mass", F.col("__p_below") + F.col("__p_in") + F.col("__p_above"))
+    shares = F.struct(*[F.when(F.col("__mass") > 0, F.col(f"__{name}") / F.col("__mass")).alias(name) for name in parts])
+    return out.withColumn("__p", F.explode(F.array(shares))).select(*df.columns, "__p.*")
 
 
 def posterior() -> dict[str, Column]:

@@ -15,7 +15,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _k() -> F.Column:
-    return F.get_json_object("props", "$.k").cast("int")
+    """The JSON field, parsed once per row.
+
+    Predicates on columns derived from it would otherwise be pushed down with a copy of the
+    parse for every mention; they stop at a generator.
+    """
+    return F.explode(F.array(F.get_json_object("props", "$.k").cast("int")))
 
 
 def obs(spark: SparkSession, sf_dir: str) -> DataFrame:
