@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from anemora.functions.scalars import boundary_seconds, is_close
 from anemora.operators.empirical import require_columns
 from anemora.operators.ordered import MAX_ROWS_PER_RANGE, order_rows
+from anemora.operators.quantiles import overall_medians
 
 
 def correlation(x: Column, y: Column) -> Column:
@@ -54,11 +55,11 @@ def effective_size(table: DataFrame, acf: str, max_block_length: int | None = No
 
 
 def dependence_levels(table: DataFrame, thresholds: Sequence[float] = (0.3, 0.5, 0.7), acf: str = "acf_lag_1") -> DataFrame:
-    """Share of nodes above each correlation, mean and median; one value per node goes in."""
-    known = table.where(F.col(acf).isNotNull())
-    return known.agg(
+    """Number of nodes, share above each correlation, means and medians."""
+    known = table.where(F.col(acf).isNotNull()).withColumn("__block", F.col("suggested_block_length").cast("double"))
+    shares = known.agg(
         F.count(F.lit(1)).alias("nodes"),
         *[F.avg(F.when(F.col(acf) >= t, 1.0).otherwise(0.0)).alias(f"share_acf_ge_{int(t * 10)}") for t in thresholds],
-        F.avg(acf).alias("mean_acf"), F.percentile(acf, 0.5).alias("median_acf"),
-        F.avg("suggested_block_length").alias("mean_block_length"),
-        F.percentile("suggested_block_length", 0.5).alias("median_block_length"))
+        F.avg(acf).alias("mean_acf"), F.avg("__block").alias("mean_block_length")).withColumn("__one", F.lit(0))
+    medians = overall_medians(known, {"median_acf": acf, "median_block_length": "__block"})
+    return shares.join(medians, "__one").drop("__one")

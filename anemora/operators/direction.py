@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from anemora.functions.scalars import circular_difference, is_finite, normalise_degrees, ratio, sector
@@ -79,8 +79,10 @@ def scenario_metrics(pairs: DataFrame, predicted: str, observed: str, label: str
     tagged = pairs.withColumn("scenario", F.explode(names))
     quality = quality_summary(tagged, ["scenario"], predicted, observed).drop("valid_pairs")
     errors = error_metrics(direction_errors(tagged, predicted, observed, ["scenario"]), ["scenario"], max_rows)
-    total = pairs.agg(F.count(F.lit(1)).alias("matched_pairs"))
-    out = quality.join(errors, "scenario", "left").join(F.broadcast(total))  # one row
+    # Three rows from here on; the scenario "all" holds every matched pair.
+    everything = Window.partitionBy(F.lit(0))
+    matched = F.max(F.when(F.col("scenario") == "all", F.col("total_pairs"))).over(everything)
+    out = quality.join(errors, "scenario", "left").withColumn("matched_pairs", matched)
     return out.withColumn("valid_pairs", F.coalesce("valid_pairs", F.lit(0))).withColumn(
         "coverage_ratio", ratio(F.col("valid_pairs"), F.col("matched_pairs")))
 

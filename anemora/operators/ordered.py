@@ -132,15 +132,23 @@ class OrderedRows:
         return self.transform(apply)
 
     def totals(self, **aggregates: Column) -> "OrderedRows":
-        """Aggregates over all rows of the key, added to each row."""
+        """Aggregates over all rows of the key, added to each row.
+
+        A key below the limit is one range, so the window over its range is already the
+        total; hot keys take theirs from a broadcast row per hot key.
+        """
+        own = Window.partitionBy(*self._group)
+        inner = {n: a.over(own) for n, a in aggregates.items()}
         if self.hot is None:
-            whole = Window.partitionBy(*self.keys)
-            return self.transform(lambda df: df.withColumns({n: a.over(whole) for n, a in aggregates.items()}))
-        per_key = self.hot.groupBy(*self.keys).agg(*[a.alias(n) for n, a in aggregates.items()])
-        rest = self.rows.join(F.broadcast(per_key.select(*self.keys)), list(self.keys), "left_anti")
-        others = rest.groupBy(*self.keys).agg(*[a.alias(n) for n, a in aggregates.items()])
-        both = per_key.unionByName(others)
-        return self.transform(lambda df: df.join(both, list(self.keys)))
+            return self.transform(lambda df: df.withColumns(inner))
+        per_key = self.hot.groupBy(*self.keys).agg(*[a.alias(f"__whole_{n}") for n, a in aggregates.items()])
+
+        def apply(df: DataFrame) -> DataFrame:
+            out = df.withColumns(inner).join(F.broadcast(per_key), list(self.keys), "left")
+            out = out.withColumns({n: F.coalesce(F.col(f"__whole_{n}"), F.col(n)) for n in inner})
+            return out.drop(*[f"__whole_{n}" for n in inner])
+
+        return self.transform(apply)
 
 
 def order_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], *,

@@ -9,7 +9,7 @@ from anemora.functions.labels import LABELS, label
 from anemora.functions.scalars import ratio, season, season_rank
 from anemora.operators.empirical import require_columns
 from anemora.operators.ordered import MAX_ROWS_PER_RANGE
-from anemora.operators.quantiles import linear_quantiles
+from anemora.operators.quantiles import linear_quantiles, overall_medians
 
 _QUANTILES = {"p50_speed": 0.5, "p90_speed": 0.9, "p99_speed": 0.99}
 
@@ -84,8 +84,7 @@ def variation(seasonal: DataFrame, annual: DataFrame) -> DataFrame:
 
 
 def variation_overview(table: DataFrame) -> DataFrame:
-    """Medians over nodes of amplitude and trend.  One value per node goes in."""
-    return table.agg(
-        F.count(F.lit(1)).alias("nodes"),
-        F.percentile("seasonal_amplitude", 0.5).alias("median_amplitude"),
-        F.percentile("annual_trend_slope", 0.5).alias("median_trend"))
+    """Number of nodes and medians over nodes of amplitude and trend."""
+    count = table.agg(F.count(F.lit(1)).alias("nodes")).withColumn("__one", F.lit(0))
+    medians = overall_medians(table, {"median_amplitude": "seasonal_amplitude", "median_trend": "annual_trend_slope"})
+    return count.join(medians, "__one").drop("__one")
