@@ -118,12 +118,19 @@ def km_quantile(spark, sf_dir):
 HUB = Height("log", 10.0, 110.0)
 
 
-@query("km_power", f"""WITH {OBS}, {_RECORDS}, {_KM}, x AS (SELECT *, t * {HUB.scale!r}e0 AS x, {UP}e0 * {HUB.scale!r}e0 AS far FROM steps),
-  s AS (SELECT node_id, sum(mass * x * x * x) AS m3, sum(mass * {_CURVE_SQL}) AS kw, min(survival) AS tail_probability FROM x GROUP BY node_id),
-  y AS (SELECT *, {UP}e0 * {HUB.scale!r}e0 AS x FROM s)
+_KM_POWER = f"""
+x AS (SELECT *, t * {HUB.scale!r}e0 AS x FROM steps),
+s AS (SELECT node_id, sum(mass * x * x * x) AS m3, sum(mass * {_CURVE_SQL}) AS kw, min(survival) AS tail_probability FROM x GROUP BY node_id),
+y AS (SELECT *, {UP}e0 * {HUB.scale!r}e0 AS x FROM s),
+densities AS (
   SELECT node_id, 0.5 * 1.225 * (m3 + tail_probability * x * x * x) AS power_density_w_m2,
          kw + tail_probability * {_CURVE_SQL} AS turbine_mean_power_kw, (kw + tail_probability * {_CURVE_SQL}) / 6000 AS capacity_factor, tail_probability
-  FROM y""", "power_density_w_m2 turbine_mean_power_kw capacity_factor tail_probability")
+  FROM y
+)"""
+
+
+@query("km_power", f"WITH {OBS}, {_RECORDS}, {_KM}, {_KM_POWER} SELECT * FROM densities",
+       "power_density_w_m2 turbine_mean_power_kw capacity_factor tail_probability")
 def km_power(spark, sf_dir):
     return km.km_power(km.kaplan_meier(_sample(spark, sf_dir)), tail_speed=UP, scale=HUB.scale)
 
@@ -232,6 +239,17 @@ def node_power(spark, sf_dir):
     return power.node_power(obs(spark, sf_dir), min_in_weight=100.0, height=HUB)
 
 
+@query("node_power_report", f"""WITH {OBS}, {_RECORDS}, {_TOTALS}, {_KM}, {_KM_POWER} SELECT node_id, 'kaplan_meier' AS method, power_density_w_m2,
+  turbine_mean_power_kw, capacity_factor, tail_probability AS kaplan_meier_tail_probability, in_weight AS weibull_in_weight,
+  left_weight AS weibull_left_weight, right_weight AS weibull_right_weight FROM densities JOIN totals USING (node_id)""",
+       "power_density_w_m2 turbine_mean_power_kw capacity_factor kaplan_meier_tail_probability weibull_in_weight weibull_left_weight weibull_right_weight")
+def node_power_report(spark, sf_dir):
+    """The power stage where the label mix decides for Kaplan-Meier, as it does for every node here."""
+    return power.node_power(obs(spark, sf_dir), height=HUB).select(
+        "node_id", "method", "power_density_w_m2", "turbine_mean_power_kw", "capacity_factor", "kaplan_meier_tail_probability",
+        "weibull_in_weight", "weibull_left_weight", "weibull_right_weight")
+
+
 @query("power_monthly")
 def power_monthly(spark, sf_dir):
     return power.temporal_power(obs(spark, sf_dir), "monthly", min_in_weight=100.0)

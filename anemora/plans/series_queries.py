@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from anemora.config import CadenceConfig, PowerCurve
-from anemora.functions.scalars import boundary_seconds, curve_kw, month_start, season, season_start, season_year
+from anemora.config import PowerCurve
+from anemora.functions.scalars import curve_kw, month_start, season, season_start, season_year
 from anemora.operators import asof, cadence, dependence, direction, nodes, seasonal
 from anemora.plans.registry import query
 from anemora.plans.tables import LABEL_TRIMMED, OBS, OBS_LONG, REF, obs, obs_long, ref, table

@@ -266,3 +266,8 @@ def test_configuration(tmp_path):
     assert provider.effective(day(3)).version == "v1" and provider.effective(day(7)).version == "v2"
     with pytest.raises(LookupError):
         RmseProvider([RmseRecord("v1", 2.0, day(3))]).effective(day(1))
+    loads = [[RmseRecord("v1", 2.0, day(1))], [RmseRecord("v2", 2.5, day(2), source="buoy")]]
+    live = RmseProvider(lambda: loads.pop(0))
+    assert live.version == "v1+0"
+    live.refresh()
+    assert live.version == "v2+1" and "global RMSE 2.500000 m/s (source buoy)" in live.limitation()
