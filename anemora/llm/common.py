@@ -6,6 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -139,7 +140,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int) -> Iterator[pa.Record
     """Cut a batch so that the texts of a piece hold about ``limit`` bytes (one row at least)."""
     if batch.num_rows == 0:
         return
-    sizes = np.asarray(pa.compute.binary_length(batch.column(column)).fill_null(0), dtype=np.int64)
+    sizes = np.asarray(pc.binary_length(batch.column(column)).fill_null(0), dtype=np.int64)
     ends, start = np.cumsum(sizes), 0
     while start < batch.num_rows:
         base = ends[start - 1] if start else 0
@@ -150,7 +151,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int) -> Iterator[pa.Record
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a text column in one array, and each text's offsets (null: empty)."""
-    column = pa.compute.fill_null(column.cast(pa.large_string()), "")
+    column = pc.fill_null(column.cast(pa.large_string()), "")
     offsets = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset:column.offset + len(column) + 1]
     data = column.buffers()[2]
     raw = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)
@@ -171,11 +172,11 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 class Words:
-    """The words of several texts as arrays: byte bounds, text number, words per text."""
+    """The words of several texts as arrays: byte bounds, first word of each text, words per text."""
 
-    def __init__(self, raw: np.ndarray, offsets: np.ndarray):
+    def __init__(self, raw: np.ndarray, offsets: np.ndarray, separates: np.ndarray = _SEPARATES):
         self.raw, self.offsets = raw, offsets
-        inside = ~_SEPARATES[raw]
+        inside = ~separates[raw]
         begins, ends = inside.copy(), inside.copy()
         begins[1:] &= ~inside[:-1]
         ends[:-1] &= ~inside[1:]
@@ -190,13 +191,16 @@ class Words:
     def __len__(self) -> int:
         return len(self.start)
 
-    def hashes(self) -> np.ndarray:
-        """A 64-bit hash of each word's bytes."""
-        if not len(self):
-            return np.zeros(0, np.uint64)
-        sizes = self.end - self.start
-        first = np.cumsum(sizes) - sizes
-        place = np.arange(int(sizes.sum())) - np.repeat(first, sizes)
-        weight = mix(np.arange(1, int(sizes.max()) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
-        terms = (self.raw[self.inside].astype(np.uint64) + np.uint64(1)) * weight[place]
-        return mix(np.add.reduceat(terms, first) + sizes.astype(np.uint64))
+    def hashes(self, piece: int = 1 << 17) -> np.ndarray:
+        """A 64-bit hash of each word's bytes, ``piece`` words at a time."""
+        out = np.empty(len(self), np.uint64)
+        for a in range(0, len(self), piece):
+            begin, end = self.start[a:a + piece], self.end[a:a + piece]
+            sizes = end - begin
+            first = np.cumsum(sizes) - sizes
+            raw = self.raw[begin[0]:end[-1]][self.inside[begin[0]:end[-1]]]
+            place = np.arange(len(raw)) - np.repeat(first, sizes)
+            weight = mix(np.arange(1, int(sizes.max()) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+            terms = (raw.astype(np.uint64) + np.uint64(1)) * weight[place]
+            out[a:a + piece] = mix(np.add.reduceat(terms, first) + sizes.astype(np.uint64))
+        return out
