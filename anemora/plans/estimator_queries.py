@@ -273,7 +273,7 @@ clamped AS (SELECT node_id, event_id, CASE WHEN s IS NOT NULL THEN least(greates
             FROM rec JOIN (SELECT event_id, pred_wind_speed AS s FROM obs) USING (event_id)),
 weighted AS (SELECT node_id, event_id, v, s_in AS w FROM clamped WHERE v IS NOT NULL AND s_in > 0),
 running AS (SELECT *, sum(w) OVER o AS c, lag(v) OVER o AS v0, sum(w) OVER (PARTITION BY node_id) AS total FROM weighted
-            WINDOW o AS (PARTITION BY node_id ORDER BY v, event_id)),
+            WINDOW o AS (PARTITION BY node_id ORDER BY v, w, event_id)),
 speeds AS (SELECT node_id, sum(w * v) / sum(w) AS mean_speed, sum(w) AS wi, sum(w * v * v * v) AS m3, {_interpolated_sql(0.5, 'p50')},
                   {_interpolated_sql(0.9, 'p90')}, {_interpolated_sql(0.99, 'p99')} FROM running GROUP BY node_id),
 sides AS (SELECT node_id, sum(w_left) AS l, sum(w_right) AS r FROM clamped GROUP BY node_id)"""

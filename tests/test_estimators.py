@@ -1,9 +1,11 @@
 """Censored estimators against hand results, recovery of known parameters, and both execution routes."""
 
 import math
+from statistics import NormalDist
 from datetime import datetime, timedelta
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -183,92 +185,162 @@ CONFIGS = {
 }
 
 
+def _parts(prepared, config, size):
+    """The parts of each node as the operator cuts them, with the records that blocks may run into."""
+    for node, group in prepared.toPandas().groupby("node_id"):
+        group = group.sort_values(["us", "tie"]).reset_index(drop=True)
+        pieces = [group.iloc[i:i + size] for i in range(0, len(group), size)]
+        cells = np.array([[int((p["stratum"] == s).sum()) for s in bootstrap.STRATA] for p in pieces])
+        length = config.block_length if config.resampling != "iid" else 1
+        room = 0 if length == 1 else length * (bootstrap.RUN_ROOM if config.resampling == "stationary" else 1)
+        out = []
+        for i, piece in enumerate(pieces):
+            after = pieces[(i + 1) % len(pieces)].iloc[:room].assign(after=True)
+            records = bootstrap._Records(pd.concat([piece.assign(after=False), after]) if len(pieces) > 1 else piece.assign(after=False), config)
+            out.append((records, records.draws(cells if len(pieces) > 1 else None, i)))
+        yield node, group, out
+
+
+@pytest.mark.parametrize("name, criteria", [*((name, "usual") for name in CONFIGS), ("labels", "fit")])
+def test_bootstrap_parts_agree_with_one_sample(spark, name, criteria):
+    """Replicates of nodes cut into parts equal the evaluation of all parts' draws together."""
+    fit = dict(criteria=KaplanMeierCriteria(min_total_observations=1_000_000), min_in_range_weight=20.0) if criteria == "fit" else {}
+    config = BootstrapConfig(replicas=4, seed=3, **{**CONFIGS[name], **fit})
+    obs = observations(spark)
+    want = {}
+    for node, group, parts in _parts(bootstrap._prepared(obs, config, "seq"), config, 90):
+        for replica in range(-1, 4):
+            samples = [records.sample(draws, replica) for records, draws in parts]
+            whole = [np.concatenate(x) for x in zip(*samples)]
+            assert len(whole[0]) == len(group)
+            want[node, replica] = (*bootstrap._sums(tuple(whole), config, 1.0), *bootstrap.evaluate(*whole, config, 1.0))
+    got = bootstrap.replicate_table(obs, config, "seq", max_records=90).collect()
+    assert len(got) == 10 and ("weibull" in {r["method"] for r in got}) == (criteria == "fit")
+    for r in got:
+        wi, wv, *_, p50, p90, p99, density, method = want[r["node_id"], r["replica"]]
+        assert (r["mean_speed"], r["p50"], r["p90"], r["p99"]) == pytest.approx((wv / wi, p50, p90, p99), rel=1e-9)
+        assert r["method"] == method
+        if config.rmse_mode != "power" or r["replica"] < 0:
+            assert r["power_density"] == pytest.approx(density, rel=1e-3 if criteria == "fit" else 1e-9)
+        assert config.rmse == 0 or r["sigma"] > 0
+
+
 @pytest.mark.parametrize("name", CONFIGS)
-def test_bootstrap_routes_agree(spark, name, monkeypatch):
-    """Gathered and spread routes draw the same records and give the same replicates."""
-    monkeypatch.setattr(bootstrap, "DRAWS_PER_CHUNK", 70)
-    monkeypatch.setattr(bootstrap, "draw_positions", _with_default(bootstrap.draw_positions, 70))
-    monkeypatch.setattr(bootstrap, "chunk_count", _with_default(bootstrap.chunk_count, 70))
-    config = BootstrapConfig(replicas=6, seed=3, **CONFIGS[name])
+def test_bootstrap_draws_follow_the_multinomial_law(spark, name):
+    """Every stratum (or the node) is drawn as often as it has records, whatever the parts; each record once on average."""
+    config = BootstrapConfig(replicas=300, seed=5, **CONFIGS[name])
+    stratified = config.resampling == "iid" and config.label_strategy == "fixed"
+    for size in (1000, 70):
+        for _, group, parts in _parts(bootstrap._prepared(observations(spark, ("a",), 200), config, "seq"), config, size):
+            offsets = np.cumsum([0, *[r.own for r, _ in parts]])
+            count = np.zeros((300, len(group)), int)
+            for i, (records, draws) in enumerate(parts):
+                for replica in range(300):
+                    np.add.at(count[replica], (draws.at(replica)[0] + offsets[i]) % len(group), 1)
+            groups = [np.flatnonzero(group["stratum"] == s) for s in bootstrap.STRATA] if stratified else [np.arange(len(group))]
+            for members in groups:
+                assert (count[:, members].sum(axis=1) == len(members)).all()
+            assert abs(count.mean(axis=0) - 1).max() < (0.35 if config.resampling == "iid" else 0.9)
+            assert count.mean() == 1 and (0.7 < count.var(axis=0).mean() if config.resampling == "iid" else True)
+
+
+def test_bootstrap_without_replicas_on_large_nodes(spark):
     obs = observations(spark)
-    prepared = bootstrap._prepared(obs, config, "seq")
-    local = {}
-    for node, group in prepared.toPandas().groupby("node_id"):
-        records = bootstrap._Records(group, config)
-        for replica in (None, *range(6)):
-            local[(node, -1 if replica is None else replica)] = bootstrap.evaluate(*records.sample(replica), config)
-    spread = bootstrap._spread(prepared, config, chunk_size=70, max_rows=90).collect()
-    assert len(spread) == 14
-    for r in spread:
-        want = local[(r["node_id"], r["replica"])]
-        for i, m in enumerate(bootstrap.METRICS):
-            if m == "power_density" and config.rmse_mode == "power" and r["replica"] >= 0:
-                continue
-            assert r[m] == pytest.approx(want[i], rel=1e-9), (m, r["replica"])
-        assert r["method"] == want[6]
-
-
-def _with_default(function, size):
-    def wrapped(*args, **kwargs):
-        names = function.__code__.co_varnames[:function.__code__.co_argcount]
-        if len(args) < len(names):
-            kwargs.setdefault("chunk_size", size)
-        return function(*args, **kwargs)
-
-    return wrapped
+    config = BootstrapConfig(replicas=0)
+    one = {r["node_id"]: r for r in bootstrap.replicate_table(obs, config, "seq").collect()}
+    many = bootstrap.replicate_table(obs, config, "seq", max_records=10).collect()
+    assert len(many) == 2
+    for r in many:
+        assert all(r[m] == pytest.approx(one[r["node_id"]][m], rel=1e-9) for m in bootstrap.METRICS)
 
 
 def test_bootstrap_is_independent_of_partitioning(spark):
     config = BootstrapConfig(replicas=20, seed=9)
-    obs = observations(spark, size=120)
-    one = bootstrap.bootstrap_intervals(obs.coalesce(1), config, "seq").orderBy("node_id", "metric").collect()
-    many = bootstrap.bootstrap_intervals(obs.repartition(7), config, "seq").orderBy("node_id", "metric").collect()
-    for a, b in zip(one, many):
-        assert a["lower"] == pytest.approx(b["lower"]) and a["upper"] == pytest.approx(b["upper"])
-        assert a["lower"] <= a["upper"] and a["replicates"] == 20
+    obs = observations(spark, size=120).withColumn("timestamp", F.date_trunc("day", "timestamp"))
+    for tie in ("seq", None):
+        one = bootstrap.bootstrap_intervals(obs.coalesce(1), config, tie).orderBy("node_id", "metric").collect()
+        many = bootstrap.bootstrap_intervals(obs.orderBy(F.rand(1)).repartition(7), config, tie).orderBy("node_id", "metric").collect()
+        for a, b in zip(one, many):
+            assert a["lower"] == pytest.approx(b["lower"]) and a["upper"] == pytest.approx(b["upper"])
+            assert a["lower"] <= a["upper"] and a["replicates"] == 20
+
+
+def test_bootstrap_settings_per_node(spark):
+    config = BootstrapConfig(replicas=5, seed=2, resampling="moving_block", block_length=3)
+    obs = observations(spark)
+    settings = spark.createDataFrame([("a", 9, 2.0)], "node_id string, block_length int, speed_scale double")
+    got = {(r["node_id"], r["replica"]): r for r in bootstrap.replicate_table(obs, config, "seq", settings=settings).collect()}
+    other = BootstrapConfig(replicas=5, seed=2, resampling="moving_block", block_length=9, speed_scale=2.0)
+    for node, setup in (("a", other), ("b", config)):
+        for r in bootstrap.replicate_table(obs.where(F.col("node_id") == node), setup, "seq").collect():
+            assert all(got[node, r["replica"]][m] == pytest.approx(r[m]) for m in bootstrap.METRICS)
+
+
+def test_jackknife_against_leaving_out_each_record(spark, monkeypatch):
+    monkeypatch.setattr(bootstrap, "MAX_RECORDS_PER_TASK", 40)
+    config = BootstrapConfig(replicas=0)
+    obs = observations(spark, ("n",), 150)
+    prepared = bootstrap._prepared(obs, config, "seq")
+    group = prepared.toPandas().assign(after=False)
+    records = bootstrap._Records(group, config)
+    full = records.sample(None)
+
+    def all_metrics(sample):
+        sums = bootstrap._sums(tuple(sample), config, 1.0)
+        p50, p90, p99, density, _ = bootstrap.evaluate(*sample, config, 1.0)
+        return dict(zip(bootstrap.METRICS, (sums[1] / sums[0], p50, p90, p99, density)))
+
+    base = all_metrics(full)
+    apart = {m: [] for m in bootstrap.METRICS}
+    for i in range(len(group)):
+        for m, x in all_metrics([np.delete(a, i) for a in full]).items():
+            apart[m].append(x - base[m])
+    for r in bootstrap.jackknife(obs, config, "seq").collect():
+        d = np.array(apart[r["metric"]])
+        assert r["n"] == 150
+        assert (r["d1"], r["d2"]) == pytest.approx((d.sum(), (d**2).sum()), rel=1e-6, abs=1e-9)
+        assert r["d3"] == pytest.approx((d**3).sum(), rel=1e-6, abs=1e-9)
 
 
 @pytest.mark.parametrize("method", ["bca", "percentile_t"])
 def test_bootstrap_refined_intervals(spark, method):
     config = BootstrapConfig(replicas=60, seed=9, ci_method=method, apply_rmse_noise=False, rmse_mode="none")
-    small, large = observations(spark, ("small",), 90), observations(spark, ("large",), 260)
+    small, large = observations(spark, ("small",), 90), observations(spark, ("large",), 400)
     got = bootstrap.bootstrap_intervals(small.unionByName(large), config, "seq").collect()
-    assert {r["ci_method"] for r in got if r["node_id"] == "small"} == {method}
-    assert {r["ci_method"] for r in got if r["node_id"] == "large"} == {"percentile"}
+    # The highest quantile is the upper bound in every draw, and so has no spread.
+    assert len(got) == 10 and {r["ci_method"] for r in got if r["metric"] != "p99"} == {method}
     for r in got:
-        assert r["lower"] < r["upper"]
+        assert r["lower"] < r["upper"] or r["metric"] == "p99"
         assert r["lower"] <= r["estimate"] * 1.1 and r["upper"] >= r["estimate"] * 0.9
 
 
-def test_block_draws():
-    moving = BootstrapConfig(resampling="moving_block", block_length=5)
-    at, _, _ = bootstrap.draw_positions(23, moving, 0, 1, 0)
-    assert at.size == 23 and all((at[i + 1] - at[i]) % 23 == 1 for i in range(22) if (i + 1) % 5)
-    stationary = BootstrapConfig(resampling="stationary", block_length=50)
-    parts = [bootstrap.draw_positions(100, stationary, 0, 4, c, 10)[0] for c in range(10)]
-    chain = np.concatenate(parts)
-    assert chain.size == 100 and chain.min() >= 0
-    assert np.mean(np.diff(chain) % 100 == 1) > 0.85
+def test_refined_bounds_by_formula(spark):
+    normal, rng = NormalDist(), np.random.default_rng(6)
+    draws, jack, estimate = np.sort(rng.gamma(4, 1, 200)), rng.gamma(3, 0.01, 80), 3.7
+    d = jack - 3.7
+    frame = spark.createDataFrame([(estimate, draws.tolist(), 80, float(d.sum()), float((d**2).sum()), float((d**3).sum()))],
+                                  "e double, x array<double>, n long, a double, b double, c double")
+    low, high = frame.select(bootstrap.refined_levels("bca", 0.1)("e", "x", "n", "a", "b", "c").alias("r")).first().r
+    z0 = normal.inv_cdf((draws < estimate).mean())
+    pull = jack.mean() - jack
+    a = (pull**3).sum() / (6 * (pull**2).sum() ** 1.5)
+    for level, z in ((low, normal.inv_cdf(0.05)), (high, normal.inv_cdf(0.95))):
+        assert level == pytest.approx(normal.cdf(z0 + (z0 + z) / (1 - a * (z0 + z))), rel=1e-6)
+    low, high = frame.select(bootstrap.refined_levels("percentile_t", 0.1)("e", "x", "n", "a", "b", "c").alias("r")).first().r
+    assert low == pytest.approx(2 * estimate - np.quantile(draws, 0.95)) and high == pytest.approx(2 * estimate - np.quantile(draws, 0.05))
 
 
 def test_bootstrap_clamps_noise(spark):
     config = BootstrapConfig(replicas=10, rmse=5.0, thresholds=RangeThresholds(3.0, 12.0))
     obs = observations(spark, ("n",), 50).withColumn("pred_wind_speed", F.lit(8.0))
-    group = bootstrap._prepared(obs, config, "seq").toPandas()
+    group = bootstrap._prepared(obs, config, "seq").toPandas().assign(after=False)
     records = bootstrap._Records(group, config)
+    draws = records.draws(None, 0)
     for replica in range(10):
-        speed = records.sample(replica)[0]
+        speed = records.sample(draws, replica)[0]
         assert speed.min() >= 3.0 and speed.max() <= 12.0 and speed.std() > 0
 
 
-def test_bootstrap_weibull_route(spark):
-    criteria = KaplanMeierCriteria(min_total_observations=1_000_000)
-    config = BootstrapConfig(replicas=3, criteria=criteria, min_in_range_weight=20.0, apply_rmse_noise=False, rmse_mode="none")
-    obs = observations(spark, ("n",), 300)
-    table = bootstrap.replicate_table(obs, config, "seq").collect()
-    assert {r["method"] for r in table} == {"weibull"}
-
-
 def test_config_rejects_bad_values():
     for bad in (dict(replicas=-1), dict(confidence=1.0), dict(rmse_mode="none"), dict(ci_method="x"), dict(block_length=0)):
         with pytest.raises(ValueError):
