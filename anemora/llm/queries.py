@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from anemora.llm import language, mixing, mtree, packing, quality, sharding, simhash, substrings, vectors
+from anemora.llm import extraction, language, mixing, mtree, packing, quality, sharding, simhash, substrings, vectors
 from anemora.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,11 @@ def op1_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+@register
+def op2_host_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(table(spark, sf_dir, "pages"))
+
+
 @register
 def op3_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
