@@ -3,16 +3,14 @@
 from __future__ import annotations
 
 import argparse
-import json
 from collections.abc import Sequence
-from pathlib import Path
 
 from pyspark.sql import functions as F
 
 from anemora import config
 from anemora.plans import stages
 from anemora.session import build_session
-from anemora.sources import sinks, stac
+from anemora.sources import files, sinks, stac
 from anemora.sources.readers import ObservationFilter, read_observations, read_reference
 
 
@@ -37,6 +35,15 @@ def _parser() -> argparse.ArgumentParser:
     resource.add_argument("--skip", nargs="*", default=[])
     resource.add_argument("--height-method", choices=("none", "log", "power"), default="none")
     resource.add_argument("--target-height", type=float)
+    resource.add_argument("--max-nodes", type=int, help="first nodes by name only")
+    resource.add_argument("--tie", help="column that orders records of equal time")
+    resource.add_argument("--ci-method", choices=("percentile", "bca", "percentile_t"), default="percentile")
+    resource.add_argument("--resampling", choices=("iid", "moving_block", "stationary"), default="iid")
+    resource.add_argument("--block-length", type=int, default=1)
+    resource.add_argument("--block-lengths", help="table with node_id and block_length")
+    resource.add_argument("--rmse-mode", choices=("velocity", "power", "none"), default="velocity")
+    resource.add_argument("--lower", type=float, default=config.RangeThresholds().lower)
+    resource.add_argument("--upper", type=float, default=config.RangeThresholds().upper)
     series = command("compute_uncensored_resource")
     series.add_argument("--node-column")
     series.add_argument("--speed-column", default="wind_speed")
@@ -48,8 +55,8 @@ def _parser() -> argparse.ArgumentParser:
     return parser
 
 
-def _path(args: argparse.Namespace) -> str:
-    return str(stac.resolve(args.dataset, args.catalog).local_path()) if args.catalog else args.dataset
+def _path(spark, args: argparse.Namespace) -> str:
+    return stac.resolve_dataset(spark, args.catalog, args.dataset).readable() if args.catalog else args.dataset
 
 
 def main(argv: Sequence[str] | None = None) -> int:
@@ -61,13 +68,19 @@ def main(argv: Sequence[str] | None = None) -> int:
     spark = build_session(master=args.master)
     if args.command == "compute_resource":
         keep = ObservationFilter(include=args.nodes) if args.nodes else None
-        obs = read_observations(spark, _path(args), keep=keep)
+        obs = read_observations(spark, _path(spark, args), keep=keep)
+        if args.max_nodes:
+            first = obs.select("node_id").distinct().orderBy("node_id").limit(args.max_nodes)
+            obs = obs.join(first, "node_id", "left_semi")
         height = config.Height(args.height_method, 10.0, args.target_height or config.PowerCurve().hub_height_m)
-        options = stages.ResourceOptions(height=height, bootstrap=config.BootstrapConfig(
-            replicas=args.replicas, seed=args.seed, speed_scale=height.scale))
-        tables = stages.compute_resource(obs, options, args.stages, args.skip)
+        bounds = config.RangeThresholds(args.lower, args.upper)
+        options = stages.ResourceOptions(bounds=bounds, height=height, tie=args.tie, bootstrap=config.BootstrapConfig(
+            replicas=args.replicas, seed=args.seed, speed_scale=height.scale, ci_method=args.ci_method, resampling=args.resampling,
+            block_length=args.block_length, rmse_mode=args.rmse_mode, apply_rmse_noise=args.rmse_mode != "none", thresholds=bounds))
+        settings = spark.read.parquet(args.block_lengths) if args.block_lengths else None
+        tables = stages.compute_resource(obs, options, args.stages, args.skip, settings)
     elif args.command == "compute_uncensored_resource":
-        rows = read_observations(spark, _path(args))
+        rows = read_observations(spark, _path(spark, args))
         if args.nodes and args.node_column:
             rows = rows.where(F.col(args.node_column).isin(args.nodes))
         tables = {"uncensored": stages.uncensored_resource(
@@ -75,11 +88,11 @@ def main(argv: Sequence[str] | None = None) -> int:
     else:
         keep = ObservationFilter(include=args.nodes) if args.nodes else None
         tables = stages.validate_reference(
-            read_observations(spark, _path(args), keep=keep), read_reference(spark, args.reference),
+            read_observations(spark, _path(spark, args), keep=keep), read_reference(spark, args.reference),
             tolerance_seconds=60 * args.tolerance_minutes, prefer_nearest=not args.exact_only)
     for name, table in tables.items():
         sinks.write_parquet(table, f"{args.output}/{name}")
-    Path(args.output, "run.json").write_text(json.dumps({k: v for k, v in vars(args).items() if k != "master"}, indent=2, default=str))
+    files.write_json(spark, files.join(args.output, "run.json"), {k: v for k, v in vars(args).items() if k != "master"})
     return 0
 
 

@@ -132,7 +132,7 @@ def uncertainty_coverage(table: DataFrame, lower: str, upper: str, replicates: s
 
 
 def nested_records(obs: DataFrame, key: str, order: Sequence[str], columns: Sequence[str], *,
-                   max_per_list: int = 50_000, max_rows: int | None = MAX_ROWS_PER_RANGE) -> DataFrame:
+                   max_per_list: int, max_rows: int | None = MAX_ROWS_PER_RANGE) -> DataFrame:
     """Time-ordered lists of records per node, in numbered parts of at most ``max_per_list``.
 
     A running count numbers the records of a node, so no list (and no task) holds an

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from anemora.config import SegmentConfig
 from anemora.operators.empirical import require_columns
-from anemora.operators.grouped import spread
 
 
 def monthly_series(rows: DataFrame, value: str, node: str = "node_id", period: str = "period_start") -> DataFrame:
@@ -119,85 +118,6 @@ def aicc(aic: float, observations: int, parameters: int) -> float:
     return float("inf") if room <= 0 else aic + 2 * parameters * (parameters + 1) / room
 
 
-MODEL_SCHEMA = ("model string, specification string, aic double, aicc double, bic double, ljung_box_pvalue double, "
-                "step int, month timestamp_ntz, forecast double")
-
-
-def seasonal_models(parts: DataFrame, *, seasonal_periods: int = 12, max_order: int = 1, steps: int = 12,
-                    keys: Sequence[str] = ("node_id", "segment_id")) -> DataFrame:
-    """SARIMA (grid by AICc) and additive Holt-Winters forecasts per segment.
-
-    Needs ``statsmodels`` on the workers; a missing library is an ImportError.
-    """
-    import statsmodels  # noqa: F401  (fail early, on the driver)
-
-    keys = list(keys)
-    fields = ", ".join(f"{c} {parts.schema[c].dataType.simpleString()}" for c in keys)
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("month")
-        series = pd.Series(rows["value"].to_numpy(float), index=pd.DatetimeIndex(rows["month"], freq="MS"))
-        ahead = pd.date_range(series.index[-1], periods=steps + 1, freq="MS")[1:]
-        out = []
-        for fit in (_best_sarima, _holt_winters):
-            found = fit(series, seasonal_periods, max_order, steps)
-            if found is not None:
-                *head, forecast = found
-                out += [(*[rows[c].iloc[0] for c in keys], *head, i + 1, t, float(x)) for i, (t, x) in enumerate(zip(ahead, forecast))]
-        return pd.DataFrame(out, columns=keys + [f.strip().split(" ")[0] for f in MODEL_SCHEMA.split(",")])
-
-    return spread(parts, *keys).groupBy(*keys).applyInPandas(run, f"{fields}, {MODEL_SCHEMA}")
-
-
-def _white_noise_pvalue(residuals, count: int) -> float:
-    from statsmodels.stats.diagnostic import acorr_ljungbox
-
-    return float(acorr_ljungbox(residuals, lags=[min(12, count - 1)], return_df=True)["lb_pvalue"].iloc[0])
-
-
-def _best_sarima(series: pd.Series, period: int, max_order: int, steps: int):
-    from statsmodels.tsa.statespace.sarimax import SARIMAX
-
-    if series.size < 2 * period:
-        return None
-    calmer = lambda lag: int(series.diff(lag).dropna().std() < series.std())
-    d, seasonal_d, best = calmer(1), calmer(period), None
-    for p, q, sp, sq in np.ndindex(max_order + 1, max_order + 1, 2, 2):
-        try:
-            fit = SARIMAX(series, order=(p, d, q), seasonal_order=(sp, seasonal_d, sq, period), trend="c",
-                          enforce_stationarity=False, enforce_invertibility=False).fit(disp=False)
-        except (ValueError, np.linalg.LinAlgError):
-            continue
-        score = aicc(float(fit.aic), int(fit.nobs), fit.params.size)
-        if best is None or score < best[0]:
-            best = score, f"({p},{d},{q})({sp},{seasonal_d},{sq},{period})", fit
-    if best is None:
-        return None
-    score, name, fit = best
-    return "sarima", name, float(fit.aic), score, float(fit.bic), _white_noise_pvalue(fit.resid, int(fit.nobs)), fit.forecast(steps)
-
-
-def _holt_winters(series: pd.Series, period: int, max_order: int, steps: int):
-    from statsmodels.tsa.holtwinters import ExponentialSmoothing
-
-    if series.size < 2 * period:
-        return None
-    try:
-        fit = ExponentialSmoothing(series, trend="add", seasonal="add", seasonal_periods=period,
-                                   initialization_method="estimated").fit()
-    except (ValueError, np.linalg.LinAlgError):
-        return None
-    residuals = series - fit.fittedvalues
-    score = aicc(float(fit.aic), residuals.size, len(fit.params))
-    return "ets", "add/add", float(fit.aic), score, float(fit.bic), _white_noise_pvalue(residuals, residuals.size), fit.forecast(steps)
-
-
-def best_models(models: DataFrame, keys: Sequence[str] = ("node_id", "segment_id")) -> DataFrame:
-    """Model with the smallest AICc per segment; a segment has two candidates."""
-    return models.where("step = 1").groupBy(*keys).agg(
-        F.min_by("model", "aicc").alias("best_model"), F.min("aicc").alias("best_aicc"))
-
-
 def forecast_months(table: DataFrame, last: str, steps: int) -> DataFrame:
     """The ``steps`` months after ``last``."""
     return table.withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(steps)))).withColumn(

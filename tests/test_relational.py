@@ -9,7 +9,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from anemora.config import (
-    CadenceConfig, Height, RangeQaThresholds, RangeThresholds, RmseProvider, RmseRecord, SegmentConfig, load,
+    CadenceConfig, Height, RangeQaThresholds, RangeThresholds, RmseRecord, SegmentConfig, effective_rmse, load, read_rmse_records,
 )
 from anemora.functions import scalars
 from anemora.operators import asof, cadence, dependence, direction, empirical, nodes, ranges, seasonal, timeseries
@@ -226,15 +226,6 @@ def test_autocorrelation(spark):
         assert pacf[k - 1] == pytest.approx(np.linalg.solve(matrix, r[:k])[-1])
 
 
-def test_models_need_their_library(spark):
-    try:
-        import statsmodels  # noqa: F401
-        pytest.skip("statsmodels is there")
-    except ImportError:
-        with pytest.raises(ImportError):
-            timeseries.seasonal_models(_months(spark, [1.0, 2.0]).withColumn("segment_id", F.lit(1)))
-
-
 def test_representatives_and_resume(spark):
     table = spark.createDataFrame([("a", 3.0, 1.0), ("b", 2.0, 9.0), ("c", 1.0, 5.0), ("d", None, 7.0)], "node_id string, p double, u double")
     picked = nodes.representative_nodes(table, 2, [("power", "p", False), ("spread", "u", False)])
@@ -262,12 +253,12 @@ def test_configuration(tmp_path):
         RangeThresholds(5, 5)
     from datetime import timezone
     day = lambda d: datetime(2024, 1, d, tzinfo=timezone.utc)
-    provider = RmseProvider([RmseRecord("v1", 2.0, day(1), day(10)), RmseRecord("v2", 3.0, day(5))])
-    assert provider.effective(day(3)).version == "v1" and provider.effective(day(7)).version == "v2"
+    records = [RmseRecord("v1", 2.0, day(1), day(10)), RmseRecord("v2", 3.0, day(5))]
+    assert effective_rmse(records, day(3)).version == "v1" and effective_rmse(records, day(7)).version == "v2"
     with pytest.raises(LookupError):
-        RmseProvider([RmseRecord("v1", 2.0, day(3))]).effective(day(1))
-    loads = [[RmseRecord("v1", 2.0, day(1))], [RmseRecord("v2", 2.5, day(2), source="buoy")]]
-    live = RmseProvider(lambda: loads.pop(0))
-    assert live.version == "v1+0"
-    live.refresh()
-    assert live.version == "v2+1" and "global RMSE 2.500000 m/s (source buoy)" in live.limitation()
+        effective_rmse(records[1:], day(1))
+    path.write_text('{"records": [{"version": 3, "value": "2.5", "effective_from": "2024-01-02T00:00:00Z", "source": "buoy"}]}')
+    assert read_rmse_records(path) == [RmseRecord("3", 2.5, day(2), source="buoy")]
+    path.write_text("{}")
+    with pytest.raises(ValueError):
+        read_rmse_records(path)

@@ -1,5 +1,6 @@
 """Readers, writers, schema, catalogues, chunks and the composed stages."""
 
+import hashlib
 import json
 from datetime import datetime, timedelta
 
@@ -9,10 +10,11 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from anemora import schema
+from anemora.config import BootstrapConfig
 from anemora.functions import geometry
 from anemora.plans import stages
 from anemora.plans.tables import obs, ref
-from anemora.sources import readers, sinks, stac
+from anemora.sources import files, readers, sinks, stac
 from anemora.streaming import chunks
 
 
@@ -93,29 +95,35 @@ def test_series_adapters(spark):
 
 def test_catalogue(spark, tmp_path):
     df = spark.createDataFrame([("x", 1.5)], "node_id string, v double")
-    stac.publish(df, tmp_path / "cat", collection_id="c", item_id="data", inputs={"obs": "abc"})
+    folder = f"file://{tmp_path}/cat"
+    collection = stac.publish(df, folder, collection_id="c", item_id="data", inputs={"obs": "abc"})
     manifest = json.loads((tmp_path / "cat" / "manifest.json").read_text())
-    files = {p.name: stac.file_digest(p) for p in (tmp_path / "cat" / "assets").glob("*.parquet")}
-    assert files and manifest["files"] == files
+    want = {p.name: hashlib.sha256(p.read_bytes()).hexdigest() for p in (tmp_path / "cat" / "assets").glob("*.parquet")}
+    assert want and manifest["files"] == want and files.names(spark, f"{folder}/assets", ".parquet") == sorted(want)
     (tmp_path / "index.json").write_text(json.dumps({"d": {"collection": "cat/collection.json"}, "bad": {}}))
-    with pytest.raises(ValueError):
-        stac.load_index(tmp_path / "index.json")
-    (tmp_path / "index.json").write_text(json.dumps({"d": {"collection": "cat/collection.json"}}))
-    asset = stac.resolve("d", tmp_path / "index.json", tmp_path)
-    assert spark.read.parquet(str(asset.local_path())).first()["v"] == 1.5
+    index = f"file://{tmp_path}/index.json"
+    assert spark.read.parquet(stac.resolve_dataset(spark, index, "d").readable()).first()["v"] == 1.5
+    for name in ("other", "bad"):
+        with pytest.raises(KeyError):
+            stac.resolve_dataset(spark, index, name)
     with pytest.raises(KeyError):
-        stac.resolve("other", tmp_path / "index.json", tmp_path)
+        stac.resolve(spark, collection, "data", "thumbnail")
     with pytest.raises(FileExistsError):
-        stac.publish(df, tmp_path / "cat", collection_id="c", item_id="data")
+        stac.publish(df, folder, collection_id="c", item_id="data")
+    assert stac.publish(df, folder, collection_id="c", item_id="data", overwrite=True) == collection
     item = tmp_path / "cat" / "items" / "data.json"
     payload = json.loads(item.read_text())
     payload["assets"]["data"]["href"] = "https://example.org/x.parquet"
-    item.write_text(json.dumps(payload))
+    item.unlink()
+    files.write_json(spark, str(item), payload)
     with pytest.raises(ValueError):
-        stac.resolve("d", tmp_path / "index.json", tmp_path).local_path()
+        stac.resolve(spark, collection).readable()
     for _ in range(2):
-        stac.update_root_catalog(tmp_path / "catalog.json", "cat/collection.json")
+        stac.update_root_catalog(spark, str(tmp_path / "catalog.json"), "cat/collection.json")
     assert len(json.loads((tmp_path / "catalog.json").read_text())["links"]) == 1
+    assert stac.relative_to("s3a://b/x/c.json", "./items/i.json") == "s3a://b/x/items/i.json"
+    assert stac.relative_to("s3a://b/x/items/i.json", "../assets") == "s3a://b/x/assets"
+    assert stac.relative_to("/a/c.json", "hdfs://n/y") == "hdfs://n/y" and stac.relative_to("hdfs://n/c.json", "/z") == "hdfs://n/z"
 
 
 def test_resume_and_subsets(spark, tmp_path):
@@ -127,7 +135,12 @@ def test_resume_and_subsets(spark, tmp_path):
     assert [r["node_id"] for r in sinks.pending_nodes(nodes, store).collect()] == ["b"]
     assert sinks.stored_results(spark, store).first()["v"] == 2
     assert sinks.subset_key(["a", "b", "a"]) == sinks.subset_key(["a", "b"]) != sinks.subset_key(["b", "a"])
-    assert sinks.materialise_subset(nodes, ["b"], str(tmp_path)).collect()[0]["node_id"] == "b"
+    assert sinks.materialise_subset(nodes, ["b"], str(tmp_path), "one").collect()[0]["node_id"] == "b"
+    assert sinks.materialise_subset(nodes.limit(0), ["b"], str(tmp_path), "two").count() == 0
+    (tmp_path / "broken").mkdir()
+    (tmp_path / "broken" / "part-0.parquet").write_text("no parquet")
+    with pytest.raises(Exception):
+        sinks.pending_nodes(nodes, str(tmp_path / "broken")).count()
 
 
 def test_chunked_anomalies(spark, tmp_path):
@@ -150,12 +163,15 @@ def test_chunked_anomalies(spark, tmp_path):
 def test_stages(spark, sf):
     with pytest.raises(ValueError):
         stages.select_stages(["nope"])
-    assert stages.select_stages(skip=["bootstrap"])[-1] == "wind_rose"
+    assert stages.select_stages(skip=["bootstrap"])[-1] == "seasonal_power"
     rows_ = obs(spark, sf)
     tables = stages.compute_resource(rows_, stages.ResourceOptions(min_in_weight=20.0), include=["empirical", "power", "node_summary", "dependence"])
     assert set(tables) == {"empirical", "power", "node_summary", "dependence"}
     assert tables["node_summary"].count() == rows_.select("node_id").distinct().count()
-    found = stages.validate_reference(rows_, readers.clean_reference(ref(spark, sf)), min_in_weight=20.0, sequence="event_id")
+    assert set(stages.compute_resource(rows_, include=["taxonomy"])) == {"taxonomy"}
+    found = stages.validate_reference(rows_, readers.clean_reference(ref(spark, sf)), min_in_weight=20.0, sequence="event_id",
+                                      intervals=BootstrapConfig(replicas=3))
+    assert "mean_speed_lower" in found["comparison"].columns
     table = {(r["dataset"], r["scope"]) for r in found["comparison"].collect()}
     assert table == {("model", "paired"), ("model", "global"), ("reference", "paired"), ("reference", "global"), ("reference", "global_censored")}
     assert found["differences"].first()["mean_speed_difference"] is not None
