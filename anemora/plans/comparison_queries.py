@@ -14,8 +14,8 @@ from anemora.sources.readers import clean_reference, uncensored_records
 
 _MONTHS = """
 grouped AS (
-  SELECT node_id, date_trunc('month', "timestamp") AS month, avg(pred_wind_speed) AS value FROM obs_long
-  WHERE NOT (month("timestamp") IN (5, 6) AND year("timestamp") % 2 = 0) AND NOT (year("timestamp") = 1998 AND month("timestamp") BETWEEN 2 AND 8)
+  SELECT node_id, date_trunc('month', "timestamp") AS month, avg(CASE WHEN NOT (month("timestamp") IN (5, 6) AND year("timestamp") % 2 = 0)
+    AND NOT (year("timestamp") = 1998 AND month("timestamp") BETWEEN 2 AND 8) THEN pred_wind_speed END) AS value FROM obs_long
   GROUP BY 1, 2
 ),
 grid AS (
@@ -28,8 +28,8 @@ def _series(spark, sf_dir):
     """Monthly means with gaps of two and seven months."""
     ts = F.col("timestamp")
     rows = obs_long(spark, sf_dir)
-    rows = rows.where(~(F.month(ts).isin(5, 6) & (F.year(ts) % 2 == 0)) & ~((F.year(ts) == 1998) & F.month(ts).between(2, 8)))
-    months = rows.groupBy("node_id", month_start(ts).alias("period_start")).agg(F.avg("pred_wind_speed").alias("value"))
+    there = ~(F.month(ts).isin(5, 6) & (F.year(ts) % 2 == 0)) & ~((F.year(ts) == 1998) & F.month(ts).between(2, 8))
+    months = rows.groupBy("node_id", month_start(ts).alias("period_start")).agg(F.avg(F.when(there, F.col("pred_wind_speed"))).alias("value"))
     return timeseries.monthly_series(months, "value")
 
 
@@ -91,7 +91,7 @@ def forecast_months(spark, sf_dir):
 
 def _matched(spark, sf_dir):
     reference = clean_reference(ref(spark, sf_dir)).select("event_id", "timestamp", "wind_speed", "wind_dir")
-    node = obs(spark, sf_dir).where(F.col("event_type") != "view")
+    node = obs(spark, sf_dir)
     return node, reference, asof.synchronise(node, reference, right_sequence="event_id")
 
 

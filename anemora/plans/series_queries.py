@@ -102,7 +102,7 @@ def sentinel_counts(spark, sf_dir):
 
 # -- as-of ----------------------------------------------------------------------
 def _sides(spark, sf_dir):
-    left = obs(spark, sf_dir).where(F.col("event_type") == "click").select("node_id", "event_id", "timestamp", "pred_wind_speed")
+    left = obs(spark, sf_dir).select("node_id", "event_id", "timestamp", "pred_wind_speed")
     right = ref(spark, sf_dir)
     return left, right
 
@@ -113,7 +113,7 @@ def _minute(df):
 
 
 _MINUTES = """
-lefts AS (SELECT node_id, event_id, date_trunc('minute', "timestamp") AS ts, pred_wind_speed FROM obs WHERE event_type = 'click'),
+lefts AS (SELECT node_id, event_id, date_trunc('minute', "timestamp") AS ts, pred_wind_speed FROM obs),
 rights AS (SELECT event_id, date_trunc('minute', "timestamp") AS ts, wind_speed FROM ref)"""
 _BACK = """
 back AS (
@@ -413,32 +413,35 @@ def rmse_interval(spark, sf_dir):
 
 # -- node tables ------------------------------------------------------------------
 def _suppliers(spark, sf_dir):
-    """Three per-supplier tables with different coverage, shaped like the stage outputs."""
-    items = table(spark, sf_dir, "lineitem").withColumn("node_id", F.col("l_suppkey").cast("string"))
-    power = items.where(F.col("l_suppkey") % 3 != 0).groupBy("node_id").agg(
+    """Three per-supplier tables whose keys overlap in part, shaped like the stage outputs."""
+    items = table(spark, sf_dir, "lineitem")
+    def shifted(by):
+        return (F.col("l_suppkey") + by).cast("string").alias("node_id")
+
+    power = items.groupBy(shifted(30)).agg(
         F.avg("l_extendedprice").alias("power_density_w_m2"),
         F.when(F.count(F.lit(1)) % 2 == 0, "weibull").otherwise("kaplan_meier").alias("method"),
         F.when(F.max("l_linenumber") % 2 == 1, F.count(F.lit(1)) % 4 != 0).alias("weibull_reliable"),
         (F.count(F.lit(1)) % 5 == 0).alias("weibull_success"))
-    empirical = items.where(F.col("l_suppkey") % 4 != 0).groupBy("node_id").agg(
+    empirical = items.groupBy(shifted(0)).agg(
         F.count(F.lit(1)).alias("valid_count"), F.avg("l_quantity").alias("mean_speed"), F.min("l_quantity").alias("min_speed"),
         F.max("l_quantity").alias("max_speed"), F.min("l_discount").alias("p50"), F.max("l_discount").alias("p90"),
         F.when(F.count(F.lit(1)) % 7 != 0, F.count(F.lit(1)) % 3 == 0).alias("any_bias"))
-    km = items.where(F.col("l_suppkey") % 5 != 0).groupBy("node_id").agg(
+    km = items.groupBy(shifted(60)).agg(
         F.min("l_tax").alias("km_p50"), F.max("l_tax").alias("km_p90"))
     geometry = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("string").alias("node_id"), F.col("s_name").alias("geometry"))
     return power, empirical, km, geometry
 
 
 _STAR = """
-power AS (SELECT CAST(l_suppkey AS VARCHAR) AS node_id, avg(l_extendedprice) AS power_density_w_m2,
+power AS (SELECT CAST(l_suppkey + 30 AS VARCHAR) AS node_id, avg(l_extendedprice) AS power_density_w_m2,
     CASE WHEN count(*) % 2 = 0 THEN 'weibull' ELSE 'kaplan_meier' END AS method,
     CASE WHEN max(l_linenumber) % 2 = 1 THEN count(*) % 4 <> 0 END AS weibull_reliable, count(*) % 5 = 0 AS weibull_success
-  FROM lineitem WHERE l_suppkey % 3 <> 0 GROUP BY 1),
+  FROM lineitem GROUP BY 1),
 empirical AS (SELECT CAST(l_suppkey AS VARCHAR) AS node_id, count(*) AS valid_count, avg(l_quantity) AS mean_speed, min(l_quantity) AS min_speed,
     max(l_quantity) AS max_speed, min(l_discount) AS p50, max(l_discount) AS p90, CASE WHEN count(*) % 7 <> 0 THEN count(*) % 3 = 0 END AS any_bias
-  FROM lineitem WHERE l_suppkey % 4 <> 0 GROUP BY 1),
-km AS (SELECT CAST(l_suppkey AS VARCHAR) AS node_id, min(l_tax) AS km_p50, max(l_tax) AS km_p90 FROM lineitem WHERE l_suppkey % 5 <> 0 GROUP BY 1),
+  FROM lineitem GROUP BY 1),
+km AS (SELECT CAST(l_suppkey + 60 AS VARCHAR) AS node_id, min(l_tax) AS km_p50, max(l_tax) AS km_p90 FROM lineitem GROUP BY 1),
 geometry AS (SELECT CAST(s_suppkey AS VARCHAR) AS node_id, s_name AS geometry FROM supplier),
 spine AS (SELECT node_id FROM power UNION SELECT node_id FROM empirical UNION SELECT node_id FROM km)"""
 
@@ -474,7 +477,7 @@ def publish_join(spark, sf_dir):
 
 
 @query("resume_pending", "SELECT CAST(s_suppkey AS VARCHAR) AS node_id FROM supplier WHERE CAST(s_suppkey AS VARCHAR) NOT IN "
-       "(SELECT CAST(l_suppkey AS VARCHAR) FROM lineitem WHERE l_suppkey % 3 <> 0)")
+       "(SELECT CAST(l_suppkey + 30 AS VARCHAR) FROM lineitem)")
 def resume_pending(spark, sf_dir):
     power, _, _, geometry = _suppliers(spark, sf_dir)
     return nodes.pending(geometry.select("node_id"), power)

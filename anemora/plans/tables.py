@@ -66,21 +66,23 @@ LABEL_TRIMMED = _CASE.format(x="lower(trim(pred_range_label))")
 
 
 def ref(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A reference series with sentinels: the view events, one clock, no node."""
-    return table(spark, sf_dir, "events").where(F.col("event_type") == "view").select(
-        "event_id", F.col("ts").alias("timestamp"),
-        F.when(F.col("event_id") % 53 == 0, F.lit(-9999.9)).otherwise(F.col("value") / 5).alias("wind_speed"),
-        F.when(F.col("event_id") % 41 == 0, F.lit(-10000.0))
-        .otherwise(((F.col("event_id") * 7) % 360).cast("double")).alias("wind_dir"),
+    """A reference series with sentinels: the orders, dealt over the month of the events, one clock, no node."""
+    key = F.col("o_orderkey")
+    minutes = ((key * 7919) % 43200).cast("double")
+    start = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    return table(spark, sf_dir, "orders").select(
+        key.alias("event_id"), (start + F.make_dt_interval(mins=minutes.cast("int"))).alias("timestamp"),
+        F.when(key % 53 == 0, F.lit(-9999.9)).otherwise((F.col("o_custkey") % 1000) / 50).alias("wind_speed"),
+        F.when(key % 41 == 0, F.lit(-10000.0)).otherwise(((key * 7) % 360).cast("double")).alias("wind_dir"),
     )
 
 
 REF = """
 ref AS (
-  SELECT event_id, ts AS "timestamp",
-         CASE WHEN event_id % 53 = 0 THEN -9999.9e0 ELSE value / 5e0 END AS wind_speed,
-         CASE WHEN event_id % 41 = 0 THEN -10000e0 ELSE CAST((event_id * 7) % 360 AS DOUBLE) END AS wind_dir
-  FROM events WHERE event_type = 'view'
+  SELECT o_orderkey AS event_id, TIMESTAMP '2024-01-01 00:00:00' + to_minutes(CAST((o_orderkey * 7919) % 43200 AS BIGINT)) AS "timestamp",
+         CASE WHEN o_orderkey % 53 = 0 THEN -9999.9e0 ELSE (o_custkey % 1000) / 50e0 END AS wind_speed,
+         CASE WHEN o_orderkey % 41 = 0 THEN -10000e0 ELSE CAST((o_orderkey * 7) % 360 AS DOUBLE) END AS wind_dir
+  FROM orders
 )"""
 
 
