@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from anemora.config import BootstrapConfig, Height, RangeThresholds
+from anemora.config import BootstrapConfig, Height, KaplanMeierCriteria, RangeThresholds
 from anemora.operators import bootstrap, censored, kaplan_meier as km, parametric, power, quantiles, weibull
 from anemora.plans.registry import query
 from anemora.plans.series_queries import _CURVE_SQL
-from anemora.plans.tables import OBS, REF, obs, ref
+from anemora.functions import special
+from anemora.operators import nodes
+from anemora.plans.tables import OBS, OBS_YEARS, REF, obs, obs_years, ref, table
 from anemora.sources.readers import clean_reference
 
 LO, UP = RangeThresholds().lower, RangeThresholds().upper
@@ -222,6 +224,118 @@ def ks_statistic(spark, sf_dir):
     return parametric.weighted_ks(sample, given, families=["weibull"]).drop("ks_weight")
 
 
+# Newton's method on the censored likelihood in the logarithms of shape (a) and scale (b), all nodes at once.
+_NEWTON = """
+newton(step, node_id, a, b) AS (
+  SELECT 0, node_id, ln(1.2e0), ln(12e0) FROM (SELECT DISTINCT node_id FROM sample)
+  UNION ALL
+  SELECT step + 1, node_id, a + CASE WHEN aa < 0 AND aa * bb > ab * ab THEN greatest(-0.5, least(0.5, (gb * ab - ga * bb) / (aa * bb - ab * ab))) ELSE 0.1 * sign(ga) END,
+         b + CASE WHEN aa < 0 AND aa * bb > ab * ab THEN greatest(-0.5, least(0.5, (ga * ab - gb * aa) / (aa * bb - ab * ab))) ELSE 0.1 * sign(gb) END
+  FROM (
+    SELECT step, node_id, a, b,
+           sum(w * CASE kind WHEN 'in' THEN 1 + k * r * (1 - u) WHEN 'left' THEN g * k * r ELSE -u * k * r END) AS ga,
+           sum(w * CASE kind WHEN 'in' THEN k * (u - 1) WHEN 'left' THEN -g * k ELSE u * k END) AS gb,
+           sum(w * CASE kind WHEN 'in' THEN k * r * (1 - u) - k * k * r * r * u WHEN 'left' THEN g * k * r + k * k * r * r * u * d ELSE -u * k * r - u * k * k * r * r END) AS aa,
+           sum(w * CASE kind WHEN 'in' THEN k * k * r * u - k * (1 - u) WHEN 'left' THEN -g * k - k * k * r * u * d ELSE u * k * k * r + u * k END) AS ab,
+           sum(w * CASE kind WHEN 'in' THEN -k * k * u WHEN 'left' THEN k * k * u * d ELSE -u * k * k END) AS bb
+    FROM (
+      SELECT *, u / (exp(u) - 1) AS g, (exp(u) - 1 - u * exp(u)) / ((exp(u) - 1) * (exp(u) - 1)) AS d FROM (
+        SELECT *, least(exp(k * r), 600e0) AS u FROM (
+          SELECT n.step, n.node_id, n.a, n.b, s.kind, s.weight AS w, exp(n.a) AS k, ln(s.value) - n.b AS r FROM newton n JOIN sample s USING (node_id) WHERE n.step < 40)))
+    GROUP BY step, node_id, a, b)
+),
+fitted AS (SELECT node_id, exp(a) AS shape, exp(b) AS scale FROM newton WHERE step = 40)"""
+
+
+@query("weibull_mle_values", f"WITH RECURSIVE {OBS}, {_RECORDS}, {_NEWTON} SELECT * FROM fitted", "shape scale", digits=3)
+def weibull_mle_values(spark, sf_dir):
+    """Shape and scale of every node."""
+    return weibull.fit_weibull(_sample(spark, sf_dir), min_in_weight=1.0).select(
+        "node_id", F.col("weibull_shape").alias("shape"), F.col("weibull_scale").alias("scale"))
+
+
+_ADMIT = KaplanMeierCriteria(min_total_censored_ratio=1.1, min_below_ratio=1.1, max_valid_share=-1.0, min_uncensored_weight=-1.0)
+
+
+@query("node_power_weibull", f"""WITH RECURSIVE {OBS}, {_RECORDS}, {_NEWTON},
+  grid AS (SELECT *, 1e-6 + (greatest(25e0, 5 * scale) - 1e-6) * i / 1999e0 AS x, (greatest(25e0, 5 * scale) - 1e-6) / 1999e0 * CASE WHEN i IN (0, 1999) THEN 0.5 ELSE 1 END AS dx
+           FROM fitted, (SELECT unnest(range(2000)) AS i)),
+  output AS (SELECT node_id, sum(dx * {_CURVE_SQL} * shape / scale * (x / scale) ** (shape - 1) * exp(-((x / scale) ** shape))) AS kw FROM grid GROUP BY 1)
+  SELECT node_id, 'weibull' AS method, 0.5 * 1.225 * scale ** 3 * gamma(1 + 3 / shape) AS power_density_w_m2, kw AS turbine_mean_power_kw FROM fitted JOIN output USING (node_id)""",
+       "power_density_w_m2 turbine_mean_power_kw", digits=0)
+def node_power_weibull(spark, sf_dir):
+    """The power stage with criteria that let the fit decide."""
+    return power.node_power(obs(spark, sf_dir), min_in_weight=1.0, criteria=_ADMIT).select(
+        "node_id", "method", "power_density_w_m2", "turbine_mean_power_kw")
+
+
+_ERF = "2 / sqrt(pi()) * list_sum(list_transform(range(0, 60), lambda n: (CASE WHEN n % 2 = 0 THEN 1e0 ELSE -1e0 END) * x ** (2 * n + 1) / (gamma(n + 1e0) * (2 * n + 1))))"
+
+
+@query("special_values", f"""WITH q AS (SELECT DISTINCT l_quantity / 20e0 AS x FROM lineitem)
+  SELECT x, lgamma(x) AS log_gamma, gamma(x) AS gamma, 1 - exp(-x) * (1 + x + x * x / 2) AS lower_gamma_3, {_ERF} AS erf FROM q""", "x log_gamma gamma lower_gamma_3 erf")
+def special_values(spark, sf_dir):
+    """The special functions of the estimators over the quantities."""
+    x = F.col("x")
+    rows = table(spark, sf_dir, "lineitem").select((F.col("l_quantity") / 20).alias("x")).distinct()
+    return rows.select("x", special.log_gamma_udf(x).alias("log_gamma"), F.exp(special.log_gamma_udf(x)).alias("gamma"),
+                       special.gamma_cdf_udf(x, F.lit(3.0), F.lit(1.0)).alias("lower_gamma_3"), (2 * special.normal_cdf_udf(x * 2**0.5) - 1).alias("erf"))
+
+
+@query("bootstrap_labels", f"""WITH {OBS}, {_RECORDS}, n AS (
+    SELECT node_id, coalesce(hard, CASE WHEN greatest(pb, pi, pa) < 0.5 THEN 'uncertain' WHEN pb = greatest(pb, pi, pa) THEN 'below'
+      WHEN pi = greatest(pb, pi, pa) THEN 'in' ELSE 'above' END) AS s FROM rec)
+  SELECT node_id, count(*) AS total_samples, count(*) FILTER (s = 'below') AS label_count_below, count(*) FILTER (s = 'in') AS label_count_in,
+         count(*) FILTER (s = 'above') AS label_count_above, count(*) FILTER (s = 'uncertain') AS label_count_uncertain,
+         count(*) FILTER (s = 'in') / count(*) AS label_ratio_in, CAST(20 AS BIGINT) AS mean_speed_replicates, 'kaplan_meier' AS power_method
+  FROM n GROUP BY 1""", "label_ratio_in")
+def bootstrap_labels(spark, sf_dir):
+    """What the bootstrap's summary says of labels, replicates and methods."""
+    config = BootstrapConfig(replicas=20, seed=7)
+    return bootstrap.bootstrap_summary(obs(spark, sf_dir), config, tie="event_id").select(
+        "node_id", "total_samples", *[f"label_count_{s}" for s in bootstrap.STRATA], "label_ratio_in", "mean_speed_replicates", "power_method")
+
+
+@query("bootstrap_bca")
+def bootstrap_bca(spark, sf_dir):
+    config = BootstrapConfig(replicas=60, seed=7, ci_method="bca", apply_rmse_noise=False, rmse_mode="none")
+    return bootstrap.bootstrap_intervals(obs(spark, sf_dir), config, tie="event_id")
+
+
+@query("bootstrap_percentile_t")
+def bootstrap_percentile_t(spark, sf_dir):
+    config = BootstrapConfig(replicas=60, seed=7, ci_method="percentile_t", apply_rmse_noise=False, rmse_mode="none")
+    return bootstrap.bootstrap_intervals(obs(spark, sf_dir), config, tie="event_id")
+
+
+@query("jackknife_mean", f"""WITH {OBS}, {_RECORDS}, v AS (
+    SELECT node_id, coalesce(least(greatest(s, {LO}e0), {UP}e0), 0) AS v, CASE WHEN s IS NULL THEN 0 ELSE s_in END AS w FROM rec JOIN (SELECT event_id, pred_wind_speed AS s FROM obs) USING (event_id)),
+  t AS (SELECT *, sum(w) OVER p AS ws, sum(w * v) OVER p AS wv FROM v WINDOW p AS (PARTITION BY node_id))
+  SELECT node_id, count(*) AS n, sum((wv - w * v) / (ws - w) - wv / ws) AS d1, 1e6 * sum(((wv - w * v) / (ws - w) - wv / ws) ** 2) AS d2 FROM t GROUP BY 1""", "d1 d2")
+def jackknife_mean(spark, sf_dir):
+    """Delete-one values of the weighted mean."""
+    found = bootstrap.jackknife(obs(spark, sf_dir), BootstrapConfig(replicas=0), tie="event_id")
+    return found.where("metric = 'mean_speed'").select("node_id", "n", "d1", (F.col("d2") * 1e6).alias("d2"))
+
+
+@query("node_geometry", "SELECT 'NODE_' || lpad(CAST(s_suppkey % 20 AS VARCHAR), 2, '0') AS node_id, min(s_name) AS geometry FROM supplier GROUP BY 1")
+def node_geometry(spark, sf_dir):
+    """One geometry per node, whichever row comes first by value."""
+    rows = table(spark, sf_dir, "supplier").select(
+        F.concat(F.lit("NODE_"), F.lpad((F.col("s_suppkey") % 20).cast("string"), 2, "0")).alias("node_id"), F.col("s_name").alias("geometry"))
+    return nodes.any_row(rows, "node_id", "geometry")
+
+
+@query("interval_coverage", """WITH t AS (SELECT l_suppkey, CASE WHEN count(*) % 3 > 0 THEN min(l_tax) END AS lo, CASE WHEN count(*) % 4 > 0 THEN max(l_tax) END AS hi, count(*) AS n FROM lineitem GROUP BY 1)
+  SELECT count(*) AS nodes, count(*) FILTER (lo IS NOT NULL AND hi IS NOT NULL) AS nodes_with_interval, min(n) AS min_replicates, max(n) AS max_replicates, avg(n) AS mean_replicates FROM t""",
+       "mean_replicates")
+def interval_coverage(spark, sf_dir):
+    n = F.count(F.lit(1))
+    rows = table(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(
+        F.when(n % 3 > 0, F.min("l_tax")).alias("lo"), F.when(n % 4 > 0, F.max("l_tax")).alias("hi"), n.alias("n"))
+    return nodes.uncertainty_coverage(rows, "lo", "hi", "n")
+
+
 @query("weibull_mle")
 def weibull_mle(spark, sf_dir):
     return weibull.fit_weibull(_sample(spark, sf_dir), min_in_weight=100.0)
@@ -250,14 +364,34 @@ def node_power_report(spark, sf_dir):
         "weibull_in_weight", "weibull_left_weight", "weibull_right_weight")
 
 
-@query("power_monthly")
+def _period_sql(period: str) -> str:
+    """The node report's SQL with the period made part of the node."""
+    return f"""WITH {OBS_YEARS.format(period=period)}, {_RECORDS}, {_TOTALS}, {_KM}, {_KM_POWER.replace(repr(HUB.scale), "1.0")}
+      SELECT node_id AS node_period, 'kaplan_meier' AS method, power_density_w_m2, turbine_mean_power_kw, in_weight AS weibull_in_weight
+      FROM densities JOIN totals USING (node_id)"""
+
+
+_PERIOD_DOUBLES = "power_density_w_m2 turbine_mean_power_kw weibull_in_weight"
+
+
+@query("power_monthly", _period_sql("strftime(l_shipdate, '%Y-%m')"), _PERIOD_DOUBLES)
 def power_monthly(spark, sf_dir):
-    return power.temporal_power(obs(spark, sf_dir), "monthly", min_in_weight=100.0)
+    """The estimate per node and month over seven years; months are too short for a fit."""
+    out = power.temporal_power(obs_years(spark, sf_dir), "monthly", min_in_weight=1e6)
+    name = F.concat_ws("/", "node_id", F.date_format("period_start", "yyyy-MM"))
+    return out.select(name.alias("node_period"), "method", "power_density_w_m2", "turbine_mean_power_kw", "weibull_in_weight")
+
+
+_SEASON = """CASE WHEN month(l_shipdate) IN (12, 1, 2) THEN 'DJF' WHEN month(l_shipdate) < 6 THEN 'MAM' WHEN month(l_shipdate) < 9 THEN 'JJA' ELSE 'SON' END
+  || (year(l_shipdate) + CASE WHEN month(l_shipdate) = 12 THEN 1 ELSE 0 END)"""
 
 
-@query("power_seasonal")
+@query("power_seasonal", _period_sql(_SEASON), _PERIOD_DOUBLES)
 def power_seasonal(spark, sf_dir):
-    return power.temporal_power(obs(spark, sf_dir), "seasonal", min_in_weight=100.0)
+    """The estimate per node, season and year."""
+    out = power.temporal_power(obs_years(spark, sf_dir), "seasonal", min_in_weight=1e6)
+    name = F.concat(F.col("node_id"), F.lit("/"), F.col("season"), F.col("season_year").cast("string"))
+    return out.select(name.alias("node_period"), "method", "power_density_w_m2", "turbine_mean_power_kw", "weibull_in_weight")
 
 
 # -- reference series ---------------------------------------------------------------

@@ -105,3 +105,23 @@ obs_long AS (
               WHEN l_linestatus = 'F' THEN 'below' ELSE 'above' END AS pred_range_label, l_orderkey, l_linenumber
   FROM lineitem
 )"""
+
+
+def obs_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seven years of observations with posteriors, from lineitem."""
+    rows = obs_long(spark, sf_dir)
+    return rows.select(
+        "node_id", "timestamp", "pred_wind_speed", "pred_range_label", F.col("pred_range_label").alias("range_flag"),
+        (F.col("l_linenumber") % 3 != 0).alias("range_flag_confident"), ((F.col("l_linenumber") % 7) / F.lit(20.0)).alias("prob_range_below"),
+        F.lit(0.5).alias("prob_range_in"), ((F.col("l_orderkey") % 5) / F.lit(20.0)).alias("prob_range_above"))
+
+
+OBS_YEARS = """
+obs AS (
+  SELECT 'NODE_' || lpad(CAST(l_suppkey % 20 AS VARCHAR), 2, '0') || '/' || {period} AS node_id, l_orderkey * 8 + l_linenumber AS event_id, l_shipdate AS "timestamp",
+         l_quantity / 2e0 AS pred_wind_speed,
+         CASE WHEN l_returnflag = 'A' THEN 'in' WHEN l_returnflag = 'N' THEN 'within'
+              WHEN l_linestatus = 'F' THEN 'below' ELSE 'above' END AS pred_range_label, l_linenumber % 3 <> 0 AS range_flag_confident,
+         (l_linenumber % 7) / 20e0 AS prob_range_below, 0.5e0 AS prob_range_in, (l_orderkey % 5) / 20e0 AS prob_range_above
+  FROM lineitem
+)"""
