@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from anemora.session import checkpoint_ready
+
 LEAST_ROW_BYTES = 16
 
 
@@ -22,13 +24,14 @@ def may_exceed(df: DataFrame, max_rows: int) -> bool:
 def hot_keys(df: DataFrame, keys: Sequence[str], max_rows: int | None) -> DataFrame | None:
     """Keys with more than ``max_rows`` rows (at most ``rows / max_rows`` of them), or None.
 
-    The count runs only where the size estimate leaves the possibility open.
+    The count runs only where the size estimate leaves the possibility open.  The keys stay a table, written down once;
+    the driver learns only whether there are any.
     """
     if max_rows is None or not may_exceed(df, max_rows):
         return None
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") > max_rows)
-    found = sizes.collect()
-    return df.sparkSession.createDataFrame(found, sizes.schema) if found else None
+    checkpoint_ready(df.sparkSession)
+    found = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") > max_rows).checkpoint()
+    return None if found.isEmpty() else found
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:

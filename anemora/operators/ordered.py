@@ -7,8 +7,8 @@ is cut into contiguous ranges of its order columns.  Windows then run inside a r
 a range needs from others (a running total, the last known value, the last few rows) is
 computed from one small row per range and joined back.
 
-Size bounds: at most ``rows / max_rows`` keys are hot, and all their cuts together number
-at most as many again, so what is collected and broadcast stays small by construction.
+At most ``rows / max_rows`` keys are hot, and all their cuts together number at most as many again.  These
+tables stay in Spark; adaptive execution decides by their size how they are joined.
 """
 
 from __future__ import annotations
@@ -23,8 +23,7 @@ from anemora.operators.grouped import hot_keys
 from anemora.session import checkpoint_ready
 
 MAX_ROWS_PER_RANGE = 4_000_000
-MAX_RANGES_PER_KEY = 1024
-_SAMPLES_PER_KEY = 32 * MAX_RANGES_PER_KEY
+_SAMPLES_PER_RANGE = 32
 _BLOCK = 32
 
 _RANGE = "__range"
@@ -67,7 +66,7 @@ class OrderedRows:
         carried = carry(self.hot)
 
         def apply(df: DataFrame) -> DataFrame:
-            out = df.withColumns(inner).join(F.broadcast(carried), self._group, "left")
+            out = df.withColumns(inner).join(carried, self._group, "left")
             out = out.withColumns({n: merge(F.col(n), F.col(f"__carry_{n}")) for n in inner})
             return out.drop(*[f"__carry_{n}" for n in inner])
 
@@ -135,7 +134,7 @@ class OrderedRows:
         """Aggregates over all rows of the key, added to each row.
 
         A key below the limit is one range, so the window over its range is already the
-        total; hot keys take theirs from a broadcast row per hot key.
+        total; hot keys take theirs from a row per hot key.
         """
         own = Window.partitionBy(*self._group)
         inner = {n: a.over(own) for n, a in aggregates.items()}
@@ -144,7 +143,7 @@ class OrderedRows:
         per_key = self.hot.groupBy(*self.keys).agg(*[a.alias(f"__whole_{n}") for n, a in aggregates.items()])
 
         def apply(df: DataFrame) -> DataFrame:
-            out = df.withColumns(inner).join(F.broadcast(per_key), list(self.keys), "left")
+            out = df.withColumns(inner).join(per_key, list(self.keys), "left")
             out = out.withColumns({n: F.coalesce(F.col(f"__whole_{n}"), F.col(n)) for n in inner})
             return out.drop(*[f"__whole_{n}" for n in inner])
 
@@ -172,33 +171,33 @@ def order_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], *,
         checkpoint_ready(df.sparkSession)
         df = df.checkpoint()
     cuts = _range_cuts(df, heavy, keys, order, max_rows, depth)
-    rows = _tag(df.join(F.broadcast(cuts), keys, "left"), order)
-    hot = _tag(df.join(F.broadcast(cuts), keys, "inner"), order)
+    rows = _tag(df.join(cuts, keys, "left"), order)
+    hot = _tag(df.join(cuts, keys, "inner"), order)
     return OrderedRows(rows, hot, tuple(keys), tuple(order))
 
 
 def _range_cuts(df: DataFrame, hot: DataFrame, keys: list[str], order: list[str], max_rows: int, depth: int) -> DataFrame:
     """Cut points per hot key from a content-hashed sample, fixed once for all uses.
 
-    The sample holds about ``_SAMPLES_PER_KEY`` positions per hot key, whatever its size.
+    The sample holds about ``_SAMPLES_PER_RANGE`` positions per range.
     """
     position = F.struct(*order)
-    stride = F.greatest(F.lit(1).cast("bigint"), F.expr(f"__rows div {_SAMPLES_PER_KEY}"))
+    stride = F.lit(max(1, max_rows // _SAMPLES_PER_RANGE)).cast("bigint")
     sampled = (
-        df.select(*keys, position.alias("__position")).join(F.broadcast(hot), keys)
+        df.select(*keys, position.alias("__position")).join(hot, keys)
         .where(F.pmod(F.xxhash64("__position"), stride) == 0)
         .groupBy(*keys)
         .agg(F.max("__rows").alias("__rows"), F.sort_array(F.collect_set("__position")).alias("__sample"))
     )
     wanted = F.greatest(F.lit(1), F.least(
-        F.lit(MAX_RANGES_PER_KEY), F.ceil(F.col("__rows") / max_rows).cast("int"),
+        F.ceil(F.col("__rows") / max_rows).cast("int"),
         F.expr(f"cast(size(__sample) div {max(1, depth)} as int)")))
     cut = F.expr("transform(sequence(0, __wanted - 1), i -> "
                  "element_at(__sample, greatest(1, cast(cast(i as bigint) * size(__sample) div __wanted as int))))")
-    table = sampled.withColumn("__wanted", wanted).withColumn("__cuts", F.slice(cut, 2, MAX_RANGES_PER_KEY))
+    table = sampled.withColumn("__wanted", wanted).withColumn("__cuts", F.slice(cut, F.lit(2), F.col("__wanted")))
     table = table.withColumn("__coarse", F.expr(f"filter(__cuts, (c, i) -> i % {_BLOCK} = {_BLOCK - 1})"))
     table = table.select(*keys, "__cuts", "__coarse")
-    return df.sparkSession.createDataFrame(table.collect(), table.schema)
+    return table.checkpoint()
 
 
 def _tag(df: DataFrame, order: list[str]) -> DataFrame:

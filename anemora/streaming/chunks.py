@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from anemora.operators.cadence import with_gaps
 from anemora.operators.ranges import anomalies
+from anemora.sources import files
 from anemora.sources.readers import ObservationFilter
 
 
@@ -34,10 +35,22 @@ def process_chunks(chunks: DataFrame, handle: Callable[[DataFrame, int], None],
 def anomaly_sink(path: str, max_gap_seconds: int = 5400) -> Callable[[DataFrame, int], None]:
     """Handler that writes a chunk's gap and posterior anomalies, one folder per chunk.
 
-    A chunk that is processed again after a failure overwrites its own folder.
+    Beside them lies the last time seen of every node, one folder per chunk as well, so that a gap from one chunk to the next is
+    found.  A chunk that is processed again after a failure reads the state before it and
+    overwrites its own folders.
     """
     def handle(chunk: DataFrame, number: int) -> None:
-        found = anomalies(with_gaps(chunk), max_gap_seconds)
-        found.withColumn("chunk", F.lit(number)).write.mode("overwrite").parquet(f"{path}/chunk={number}")
+        spark = chunk.sparkSession
+        seen = chunk.select("node_id", "timestamp").withColumn("__old", F.lit(False))
+        before = files.join(path, "_last", str(number - 1))
+        rows = chunk.withColumn("__old", F.lit(False))
+        if files.exists(spark, before):
+            known = spark.read.parquet(before).withColumn("__old", F.lit(True))
+            seen, rows = seen.unionByName(known), rows.unionByName(known, allowMissingColumns=True)
+        found = anomalies(with_gaps(rows).where(~F.col("__old")).drop("__old"), max_gap_seconds)
+        found.withColumn("chunk", F.lit(number)).write.mode("overwrite").parquet(files.join(path, f"chunk={number}"))
+        last = seen.groupBy("node_id").agg(F.max("timestamp").alias("timestamp"))
+        last.write.mode("overwrite").parquet(files.join(path, "_last", str(number)))
+        files.remove(spark, files.join(path, "_last", str(number - 2)))
 
     return handle
