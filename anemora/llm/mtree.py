@@ -14,9 +14,9 @@ from pyspark.sql.window import Window
 from anemora.session import checkpoint_ready
 
 #: Routing objects: nodes below the root and pages below a node at most; rows of the sample that they are chosen from.
-NODES, PAGES, SAMPLE = 32, 32, 8_192
-#: Rows of a stored block, and queries that visit it together.
-BLOCK_ROWS, QUERY_ROWS = 4_096, 512
+NODES, PAGES, SAMPLE = 16, 16, 8_192
+#: Rows of a stored block, and queries that travel together.
+BLOCK_ROWS, QUERY_ROWS = 1_024, 256
 
 #: Slack of computed distances, relative to the greatest norm.
 _SLACK = 1e-6
@@ -113,7 +113,7 @@ def top_k(df: DataFrame, is_query: Column, k: int = 5, key: str = "vec_id", vect
     The routing objects come from a bounded sample; rows are dealt to the nearest, stored in blocks of bounded size with
     their distance to the routing object, and a page of any size is many blocks.  A query starts
     with the k-th score among the sample, visits its most promising page, and with
-    the better bound all pages that remain.  Queries meet blocks in blocks.
+    the better bound all pages that remain. 
 
     Vectors that are null, empty or hold null or non-finite components, and rows without key, take no part; shorter vectors are padded with
     zeros; rows that repeat a key are candidates each.  Fewer rows than ``k`` give fewer ranks; no rows give
@@ -135,12 +135,15 @@ def top_k(df: DataFrame, is_query: Column, k: int = 5, key: str = "vec_id", vect
     sample_ids, sample = np.asarray(taken.column("id")), scaled(taken.column("vector").combine_chunks(), width)
     tree = directory(sample, float(np.sqrt(square)))
 
+    biggest = usable.agg(F.max(F.aggregate("vector", F.lit(0.0), lambda m, x: F.greatest(m, F.abs(F.floor(x.cast("double") * 256).cast("double")))))).first()[0]
+    kind = np.dtype(np.int16 if biggest < 2**15 else np.int32 if biggest < 2**31 else np.float64)
+
     def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = scaled(batch.column("vector"), width)
             page, far = tree.place(tree.lift(rows))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("asks"), pa.array([r.tobytes() for r in rows], pa.binary()), pa.array(page), pa.array(far)],
+                [batch.column("id"), batch.column("asks"), pa.array([r.tobytes() for r in rows.astype(kind)], pa.binary()), pa.array(page), pa.array(far)],
                 ["id", "asks", "row", "page", "far"])
 
     stored = usable.mapInArrow(store, "id bigint, asks boolean, row binary, page bigint, far double").checkpoint()
@@ -151,114 +154,137 @@ def top_k(df: DataFrame, is_query: Column, k: int = 5, key: str = "vec_id", vect
     covered = np.where(tree.radius >= 0, tree.to_parent + tree.radius, -1.0)
     tree.node_radius = np.array([covered[tree.parent == m].max() for m in range(len(tree.nodes))])
     blocks = F.element_at(F.array(*[F.lit(int(-(-n // BLOCK_ROWS)) or 1) for n in sizes]), (F.col("page") + 1).cast("int"))
-    # Blocks are rings around the routing object where a page has several: far sorts them inside, a hash deals them out.
     held = (
         stored.withColumn("block", F.pmod(F.xxhash64("id"), blocks)).groupBy("page", "block")
         .agg(F.sort_array(F.collect_list(F.struct("far", "id", "row"))).alias("rows"))
     )
+    asks = stored.where("asks").select("id", "row").distinct()
+    turns = max(1, -(-asks.count() // QUERY_ROWS))
+    queries = asks.withColumn("turn", F.pmod(F.xxhash64("id", F.lit("turn")), F.lit(turns))).groupBy("turn").agg(
+        F.sort_array(F.collect_list(F.struct("id", "row"))).alias("asked")).checkpoint()
 
-    def visit(first: bool):
-        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                rows = np.frombuffer(b"".join(batch.column("row").to_pylist()), np.float64).reshape(batch.num_rows, -1)
-                ids = np.asarray(batch.column("id"))
-                found = [_plan(tree, q, i, sample_ids, sample, k) if first else _rest(tree, q, s, p) for q, i, s, p in zip(
-                    rows, ids, *([[None] * len(ids)] * 2 if first else [np.asarray(batch.column(c)) for c in ("bound", "seen")]))]
-                count = [len(pages) for pages, _ in found]
-                at = np.repeat(np.arange(len(ids)), count)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[at]), batch.column("row").take(pa.array(at)), pa.array([p for pages, _ in found for p in pages], pa.int64()),
-                     pa.array([b for pages, b in found for _ in pages], pa.float64())], ["id", "row", "page", "bound"])
-        return work
-
-    plan = "id bigint, row binary, page bigint, bound double"
-    asks = stored.where("asks").select("id", "row")
-    once = asks.distinct().mapInArrow(visit(True), plan).checkpoint()
-    early = _meet(once, held, tree, k).checkpoint()
-    kth = early.groupBy(F.col("query_id").alias("q")).agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("least")).checkpoint()
-    again = once.join(kth, F.col("id") == F.col("q"), "left").select(
-        "id", "row", F.greatest("bound", F.coalesce(F.col("least").cast("double"), F.lit(float("-inf")))).alias("bound"), F.col("page").alias("seen"))
-    late = _meet(again.mapInArrow(visit(False), plan), held, tree, k)
+    def first_visits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for turn, asked in zip(batch.column("turn").to_pylist(), batch.column("asked")):
+                ids, rows = _queries(asked, kind)
+                scores = rows @ sample.T
+                scores[ids[:, None] == sample_ids[None, :]] = -np.inf
+                bound = np.partition(scores, -k, axis=1)[:, -k] if scores.shape[1] >= k else np.full(len(ids), -np.inf)
+                lower = _lower_bounds(tree, rows, bound)
+                yield _visits(turn, lower == lower.min(axis=1, keepdims=True), bound, first=True)
+
+    def later_visits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for turn, asked, known in zip(batch.column("turn").to_pylist(), batch.column("asked"), batch.column("known")):
+                ids, rows = _queries(asked, kind)
+                order = np.argsort(np.asarray(known.values.field("id")), kind="stable")
+                bound = np.asarray(known.values.field("bound"))[order]
+                seen = np.asarray(known.values.field("page"))[order]
+                lower = _lower_bounds(tree, rows, bound)
+                lower[np.arange(len(ids)), seen] = np.inf
+                yield _visits(turn, np.isfinite(lower), bound, first=False)
+
+    plan = "turn bigint, page bigint, members array<int>, bounds array<double>"
+    once = queries.mapInArrow(first_visits, plan).checkpoint()
+    early = _meet(once, queries, held, tree, k, kind).checkpoint()
+    kth = early.groupBy("query_id").agg(F.when(F.count(F.lit(1)) >= k, F.min("score").cast("double")).alias("least"))
+    visited = once.join(queries, "turn").select("turn", "page", F.explode(F.arrays_zip(
+        F.transform("members", lambda i: F.get("asked", i)["id"]).alias("id"), F.col("bounds").alias("bound"))).alias("v")).select("turn", "page", "v.*")
+    known = visited.join(kth, F.col("id") == F.col("query_id"), "left").groupBy("turn").agg(F.collect_list(F.struct(
+        "id", F.greatest("bound", F.coalesce("least", F.lit(float("-inf")))).alias("bound"), "page")).alias("known"))
+    late = _meet(queries.join(known, "turn").mapInArrow(later_visits, plan), queries, held, tree, k, kind)
     return _best(early.union(late), k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
-def _best(rows: DataFrame, k: int) -> DataFrame:
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return rows.select("query_id", "vec_id", "score").withColumn("rank", rank).where(F.col("rank") <= k)
-
+def _queries(asked: pa.Scalar, kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    ids = np.asarray(asked.values.field("id"))
+    return ids, np.frombuffer(b"".join(asked.values.field("row").to_pylist()), kind).reshape(len(ids), -1).astype(np.float64)
 
-def _far(tree: Directory, query: np.ndarray, bound: float) -> float:
-    """Greatest distance at which a row can still reach the score ``bound``."""
-    if not np.isfinite(bound):
-        return float("inf")
-    return float(np.sqrt(max(query @ query + tree.reach ** 2 - 2 * bound, 0.0))) + _slack(tree, query)
 
+def _visits(turn: int, wanted: np.ndarray, bound: np.ndarray, first: bool) -> pa.RecordBatch:
+    """A row per page with the queries (by place in their block) that visit it; the first time one page each."""
+    if first:
+        one = np.zeros_like(wanted)
+        one[np.arange(len(wanted)), wanted.argmax(axis=1)] = True
+        wanted = one
+    pages = np.flatnonzero(wanted.any(axis=0))
+    members = [np.flatnonzero(wanted[:, p]).astype(np.int32) for p in pages]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.full(len(pages), turn)), pa.array(pages), pa.array(members, pa.list_(pa.int32())), pa.array([bound[m] for m in members], pa.list_(pa.float64()))],
+        ["turn", "page", "members", "bounds"])
 
-def _slack(tree: Directory, query: np.ndarray) -> float:
-    return _SLACK * (tree.reach + float(np.sqrt(query @ query)) + 1.0)
 
+def _best(rows: DataFrame, k: int) -> DataFrame:
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    return rows.select("query_id", "vec_id", "score").withColumn("rank", rank).where(F.col("rank") <= k)
 
-def _open_pages(tree: Directory, query: np.ndarray, far: float) -> list[tuple[float, int]]:
-    """Pages within ``far``, nearest lower bound first; stored parent distances spare the distance to most others."""
-    point = np.append(query, 0.0)
-    to_node = np.linalg.norm(tree.nodes - point, axis=1)
-    out = []
-    for m in np.argsort(to_node - tree.node_radius, kind="stable"):
-        if tree.node_radius[m] < 0 or to_node[m] - tree.node_radius[m] > far:
-            continue
-        own = np.flatnonzero((tree.parent == m) & (tree.radius >= 0))
-        own = own[np.abs(to_node[m] - tree.to_parent[own]) - tree.radius[own] <= far]
-        d = np.linalg.norm(tree.pages[own] - point, axis=1)
-        out += [(float(x), int(p)) for x, p in zip(d - tree.radius[own], own) if x <= far]
-    return sorted(out)
 
+def _reach(tree: Directory, rows: np.ndarray, bound: np.ndarray) -> np.ndarray:
+    """Greatest distance at which a row can still reach each query's bound."""
+    square = (rows * rows).sum(axis=1)
+    far = np.sqrt(np.maximum(square + tree.reach ** 2 - 2 * bound, 0.0))
+    return far + _SLACK * (tree.reach + np.sqrt(square) + 1.0)
 
-def _plan(tree: Directory, query: np.ndarray, own: int, ids: np.ndarray, sample: np.ndarray, k: int) -> tuple[list[int], float]:
-    """The most promising page, and the k-th score among the sample."""
-    scores = np.sort((sample @ query)[ids != own])[::-1]
-    bound = float(scores[k - 1]) if len(scores) >= k else float("-inf")
-    pages = _open_pages(tree, query, _far(tree, query, bound))
-    return [pages[0][1]] if pages else [int(np.flatnonzero(tree.radius >= 0)[0])], bound
 
+def _lower_bounds(tree: Directory, rows: np.ndarray, bound: np.ndarray) -> np.ndarray:
+    """Least possible distance of each query to each page's rows; infinite where no row can reach the bound.
 
-def _rest(tree: Directory, query: np.ndarray, bound: float, seen: int) -> tuple[list[int], float]:
-    return [p for _, p in _open_pages(tree, query, _far(tree, query, bound)) if p != seen], bound
+    Nodes out of reach spare all their pages; of the others, the stored distance of a page to its node
+    and the triangle inequality spare the pages that it rules out; only the rest are measured.
+    """
+    points = np.concatenate([rows, np.zeros((len(rows), 1))], axis=1)
+    far = _reach(tree, rows, bound)
+    to_node = _apart(points, tree.nodes)
+    out = np.full((len(rows), len(tree.pages)), np.inf)
+    for m in range(len(tree.nodes)):
+        own = np.flatnonzero((tree.parent == m) & (tree.radius >= 0))
+        near = np.flatnonzero(to_node[:, m] - tree.node_radius[m] <= far) if len(own) else []
+        if not len(near):
+            continue
+        open_ = np.abs(to_node[near, m][:, None] - tree.to_parent[own][None]) - tree.radius[own][None] <= far[near][:, None]
+        asked, pages = np.flatnonzero(open_.any(axis=1)), np.flatnonzero(open_.any(axis=0))
+        if len(asked):
+            lower = _apart(points[near[asked]], tree.pages[own[pages]]) - tree.radius[own[pages]][None]
+            lower = np.where(open_[np.ix_(asked, pages)] & (lower <= far[near[asked]][:, None]), lower, np.inf)
+            out[np.ix_(near[asked], own[pages])] = lower
+    # A query whose bound nothing reaches still visits a page.
+    empty = ~np.isfinite(out).any(axis=1)
+    if empty.any() and not np.isfinite(bound[empty]).all():
+        out[empty] = np.where(tree.radius >= 0, 0.0, np.inf)
+    return out
 
 
-def _meet(visits: DataFrame, held: DataFrame, tree: Directory, k: int) -> DataFrame:
-    """The best ``k`` of each query among the blocks of the pages it visits."""
-    groups = visits.withColumn("turn", F.pmod(F.xxhash64("id"), F.lit(1 << 20)))
-    count = visits.groupBy("page").agg(F.ceil(F.count(F.lit(1)) / QUERY_ROWS).alias("parts")).select(F.col("page").alias("at"), "parts")
-    asked = (
-        groups.join(count, F.col("page") == F.col("at")).withColumn("part", F.col("turn") % F.col("parts"))
-        .groupBy("page", "part").agg(F.collect_list(F.struct("id", "row", "bound")).alias("asked"))
-    )
-    pairs = asked.withColumnRenamed("page", "visited").join(held, F.col("visited") == F.col("page")).select("page", "asked", "rows")
-    found = pairs.mapInArrow(lambda batches: _search(batches, tree, k), "query_id bigint, vec_id bigint, score bigint")
+def _meet(visits: DataFrame, queries: DataFrame, held: DataFrame, tree: Directory, k: int, kind: np.dtype) -> DataFrame:
+    """The best ``k`` of each query among the blocks of the pages it visits; a block of queries meets a block of rows."""
+    pairs = visits.join(queries.withColumnRenamed("turn", "of"), F.col("turn") == F.col("of"))
+    pairs = pairs.join(held.withColumnRenamed("page", "at"), F.col("page") == F.col("at")).select("page", "members", "bounds", "asked", "rows")
+    found = pairs.mapInArrow(lambda batches: _search(batches, tree, k, kind), "query_id bigint, vec_id bigint, score bigint")
     return _best(found, k).drop("rank")
 
 
-def _search(batches: Iterator[pa.RecordBatch], tree: Directory, k: int) -> Iterator[pa.RecordBatch]:
-    """Each query's best among a block: only rows whose stored distance to the routing object lets them reach the bound are computed."""
+def _search(batches: Iterator[pa.RecordBatch], tree: Directory, k: int, kind: np.dtype) -> Iterator[pa.RecordBatch]:
+    """Only rows whose stored distance to the routing object lets one of the queries reach its bound are computed."""
     for batch in batches:
-        for page, asked, rows in zip(batch.column("page").to_pylist(), batch.column("asked"), batch.column("rows")):
-            asked, rows = asked.values, rows.values
-            ids, other = np.asarray(asked.field("id")), np.asarray(rows.field("id"))
-            queries = np.frombuffer(b"".join(asked.field("row").to_pylist()), np.float64).reshape(len(ids), -1)
-            stored = np.frombuffer(b"".join(rows.field("row").to_pylist()), np.float64).reshape(len(other), -1)
-            bound, far = np.asarray(asked.field("bound")), np.asarray(rows.field("far"))
+        for page, members, bounds, asked, rows in zip(*(batch.column(c) for c in ("page", "members", "bounds", "asked", "rows"))):
+            page, members, bound, rows = page.as_py(), np.asarray(members.values), np.asarray(bounds.values), rows.values
+            ids, queries = _queries(asked, kind)
+            ids, queries = ids[members], queries[members]
+            other, far = np.asarray(rows.field("id")), np.asarray(rows.field("far"))
+            stored = np.frombuffer(b"".join(rows.field("row").to_pylist()), kind).reshape(len(other), -1).astype(np.float64)
+            reach = _reach(tree, queries, bound)
+            centre = _apart(np.concatenate([queries, np.zeros((len(ids), 1))], axis=1), tree.pages[[page]])[:, 0]
+            low = np.searchsorted(far, np.min(centre - reach) - _SLACK * (tree.reach + 1.0))
+            high = np.searchsorted(far, np.max(centre + reach) + _SLACK * (tree.reach + 1.0), side="right")
+            other, stored = other[low:high], stored[low:high]
+            if not len(other):
+                continue
             exact = max(np.abs(queries).max(), 1) * max(np.abs(stored).max(), 1) * queries.shape[1] < 2.0 ** 53
-            out_q, out_x, out_s = [], [], []
-            for q, query, least in zip(ids, queries, bound):
-                reach, centre = _far(tree, query, least), np.linalg.norm(tree.pages[page] - np.append(query, 0.0))
-                slack = _slack(tree, query)
-                low, high = np.searchsorted(far, centre - reach - slack), np.searchsorted(far, centre + reach + slack, side="right")
-                near = stored[low:high]
-                scores = near @ query if exact else near.astype(np.int64) @ query.astype(np.int64)
-                at = np.flatnonzero((scores >= least) & (other[low:high] != q))
-                if len(at) > k:
-                    at = at[np.lexsort((other[low:high][at], -scores[at]))[:k]]
-                out_q.append(np.full(len(at), q))
-                out_x.append(other[low:high][at])
-                out_s.append(scores[at].astype(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in (out_q, out_x, out_s)], ["query_id", "vec_id", "score"])
+            scores = queries @ stored.T if exact else queries.astype(np.int64) @ stored.astype(np.int64).T
+            good = (scores >= bound[:, None]) & (ids[:, None] != other[None, :])
+            q, x = np.nonzero(good)
+            order = np.lexsort((other[x], -scores[q, x], q))
+            q, x = q[order], x[order]
+            rank = np.arange(len(q)) - np.searchsorted(q, q)
+            q, x = q[rank < k], x[rank < k]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(v.astype(np.int64)) for v in (ids[q], other[x], scores[q, x])], ["query_id", "vec_id", "score"])
