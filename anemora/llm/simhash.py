@@ -19,8 +19,10 @@ from anemora.session import checkpoint_ready
 BITS = 64
 #: Groups of correlated bits that a partition is made of.
 GROUP = 8
-#: Rows of a bucket that are compared with each other; larger buckets are split by further bits, without loss.
+#: Rows of a bucket that are compared with each other in one task; a larger bucket is dealt on by further bits up to
+#: ``SPLITS`` times, which parts what is not alike, and what remains is compared block by block.
 BUCKET_ROWS = 2_048
+SPLITS = 2
 
 _LANES = np.uint64(0x0101010101010101)
 
@@ -194,7 +196,7 @@ def links(prints: DataFrame, reach: int = 3) -> DataFrame:
     Every fingerprint is put into the bucket of its value in each partition, and probes the buckets within the
     partition's threshold.  A bucket above ``BUCKET_ROWS`` is dealt on by the bits it does not fix: of
     ``reach + 1`` parts of them one must agree.  Inside a bucket all rows are
-    compared, and a spanning forest of the links is returned, not the pairs.
+    compared, in blocks if they are many, and a spanning forest of the links is returned, not the pairs.
     """
     rows, ones, together = statistics(prints)
     groups = bit_groups(together, ones, rows)
@@ -208,29 +210,31 @@ def links(prints: DataFrame, reach: int = 3) -> DataFrame:
     probe = F.explode(F.array(*[F.struct(F.lit(m).cast("long").alias("mask"), F.lit(x).cast("long").alias("flip"), F.lit(own).alias("own")) for m, x, own in probes]))
     dealt = prints.select("fingerprint", probe.alias("p")).select("fingerprint", F.col("fingerprint").bitwiseXOR(F.col("p.flip")).alias("shape"), "p.mask", "p.own")
     dealt = dealt.withColumn("value", F.col("shape").bitwiseAND(F.col("mask")))
-    done = None
-    masks = {m for m, _, _ in probes}
-    while True:
-        sizes = dealt.groupBy("mask", "value").agg(F.count(F.lit(1)).alias("n"), F.max("own").alias("has_own")).where("n > 1 and has_own").checkpoint()
-        hot = sizes.where(F.col("n") > BUCKET_ROWS)
-        splits = {m: parts for m in masks if (parts := _split(m, order, reach + 1))}
-        hot = hot.where(F.col("mask").isin(list(splits))) if splits else hot.where("false")
-        small = sizes.join(hot.select("mask", "value"), ["mask", "value"], "left_anti")
-        lists = (
-            dealt.join(small.select("mask", "value"), ["mask", "value"])
-            .groupBy("mask", "value").agg(F.collect_list("fingerprint").alias("prints"), F.collect_list("own").alias("own"))
-        )
-        found = lists.select("prints", "own").mapInArrow(lambda b, reach=reach: _compare(b, reach), "a bigint, b bigint")
-        done = found if done is None else done.union(found)
-        if not splits or hot.isEmpty():
-            return done
+    found, masks = [], {m for m, _, _ in probes}
+    for level in range(SPLITS + 1):
+        sizes = dealt.groupBy("mask", "value").agg(F.count(F.lit(1)).alias("n"), F.max("own").alias("has_own")).where("n > 1 and has_own")
+        sizes = sizes.select(F.col("mask").alias("_mask"), F.col("value").alias("_value"), "n").checkpoint()
+        same = (F.col("mask") == F.col("_mask")) & (F.col("value") == F.col("_value"))
+        splits = {m: parts for m in masks if level < SPLITS and (parts := _split(m, order, reach + 1))}
+        hot = (F.col("n") > BUCKET_ROWS) & F.col("_mask").isin(list(splits)) if splits else F.lit(False)
+        near = dealt.join(sizes.where(~hot), same).withColumn("blocks", F.ceil(F.col("n") / BUCKET_ROWS).cast("int"))
+        near = near.withColumn("block", F.pmod(F.xxhash64("fingerprint"), F.col("blocks")).cast("int"))
+        near = near.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        lists = near.groupBy("mask", "value", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")).agg(
+            F.collect_list("fingerprint").alias("prints"), F.collect_list("own").alias("own"), F.collect_list("block").alias("block"))
+        found.append(lists.select("prints", "own", "block", (F.col("low") == F.col("high")).alias("single")).mapInArrow(lambda b, reach=reach: _compare(b, reach), "a bigint, b bigint"))
+        if not splits or sizes.where(hot).isEmpty():
+            break
         table = F.create_map(*[x for m, parts in splits.items() for x in (F.lit(m).cast("long"), F.array(*[F.lit(p).cast("long") for p in parts]))])
         dealt = (
-            dealt.join(hot.select("mask", "value"), ["mask", "value"])
-            .select("fingerprint", "shape", "own", F.explode(F.element_at(table, F.col("mask"))).alias("mask"))
+            dealt.join(sizes.where(hot), same).select("fingerprint", "shape", "own", F.explode(F.element_at(table, F.col("mask"))).alias("mask"))
             .withColumn("value", F.col("shape").bitwiseAND(F.col("mask"))).checkpoint()
         )
         masks = {p for parts in splits.values() for p in parts}
+    out = found[0]
+    for more in found[1:]:
+        out = out.union(more)
+    return out
 
 
 def _split(mask: int, order: list[int], parts: int) -> list[int]:
@@ -246,14 +250,14 @@ def _compare(batches: Iterator[pa.RecordBatch], reach: int) -> Iterator[pa.Recor
         sizes = np.asarray(pc.list_value_length(batch.column(0)), dtype=np.int64)
         values = np.asarray(batch.column(0).flatten()).view(np.uint64)
         own = np.asarray(batch.column(1).flatten().cast(pa.uint8())).astype(bool)
-        size, bucket = np.repeat(sizes, sizes), np.repeat(np.arange(len(sizes)), sizes)
+        block, single = np.asarray(batch.column(2).flatten()), np.repeat(np.asarray(batch.column(3).cast(pa.uint8())).astype(bool), sizes)
+        size = np.repeat(sizes, sizes)
         a = b = np.zeros(0, np.int64)
         at = np.flatnonzero(size > 1)
-        at = at[np.argsort(bucket[at], kind="stable")]
         place = _ranges(sizes)
         for step in range(1, int(sizes.max(initial=1))):
             at = at[place[at] + step < size[at]]
-            near = (np.bitwise_count(values[at] ^ values[at + step]) <= reach) & (own[at] | own[at + step])
+            near = (np.bitwise_count(values[at] ^ values[at + step]) <= reach) & (own[at] | own[at + step]) & (single[at] | (block[at] != block[at + step]))
             a, b = np.concatenate([a, at[near]]), np.concatenate([b, at[near] + step])
             if len(a) > 1_000_000:
                 a, b = local_forest(a, b, len(values))
