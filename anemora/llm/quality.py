@@ -42,6 +42,7 @@ def features(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     n = len(offsets) - 1
     out = np.zeros((n, WIDTH), np.float32)
     if not len(raw):
+        out[:, WIDTH - DENSE + 6] = 1
         return out
     size = np.diff(offsets)
     text = np.repeat(np.arange(n), size)
@@ -62,8 +63,8 @@ def features(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     dense[:, 1] = long / 20
     dense[:, 2] = np.log1p(rows) / 10
     dense[:, 3] = np.minimum(rows / np.maximum(count, 1), 1)
-    dense[:, 4] = 1 - _distinct(words) / np.maximum(count, 1)
-    dense[:, 5] = 1 - _distinct(lines) / np.maximum(rows, 1)
+    dense[:, 4] = np.where(count > 0, 1 - _distinct(words) / np.maximum(count, 1), 0)
+    dense[:, 5] = np.where(rows > 0, 1 - _distinct(lines) / np.maximum(rows, 1), 0)
     dense[:, 6] = (count == 0)
     dense[:, 7] = np.minimum(long / 200, 1)
     return out
