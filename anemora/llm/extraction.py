@@ -8,7 +8,7 @@ from html import unescape
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from anemora.llm.common import Words, mix
@@ -20,7 +20,7 @@ RUN, PAGES, SHARE = 6, 3, 0.25
 #: Pages whose streams one suffix array holds.
 SHARD_PAGES = 512
 
-#: Lists of repeated runs up to this size are sent to all executors; larger ones are joined by host.
+#: Tables of hosts (page counts, lists of repeated runs) up to this size are sent to all executors; larger ones are joined by host.
 BROADCAST_BYTES = 64 << 20
 
 # Elements by what they mean for the text: fixed values of the HTML standard.
@@ -199,6 +199,23 @@ def covered(tokens: list[str], repeated: set[int], run: int = RUN) -> np.ndarray
     return np.cumsum(edge[:-1]) > 0
 
 
+def whole_runs(gone: np.ndarray, owner: list[int], run: int) -> np.ndarray:
+    """Of the covered tokens those in blocks that are covered altogether, or in stretches of ``run`` tokens inside one block.
+
+    A run that ends in the next block's first words does not take these along.
+    """
+    out = gone.copy()
+    edges = np.flatnonzero(np.diff(owner, prepend=-1, append=-1)) if len(owner) else []
+    for a, b in zip(edges[:-1], edges[1:]):
+        if gone[a:b].all():
+            continue
+        cuts = np.flatnonzero(np.diff(gone[a:b].astype(np.int8), prepend=0, append=0)) + a
+        for i, j in zip(cuts[::2], cuts[1::2]):
+            if j - i < run:
+                out[i:j] = False
+    return out
+
+
 def assemble(html: str, repeated: set[int], run: int = RUN) -> tuple[str, int]:
     """The page's main text and the tokens outside the main element that lie in repeated runs.
 
@@ -206,7 +223,7 @@ def assemble(html: str, repeated: set[int], run: int = RUN) -> tuple[str, int]:
     none, and what is marked as something else never counts.
     """
     tokens, owner, texts, inside, marked, has_main = stream(html)
-    gone = covered(tokens, repeated, run)
+    gone = whole_runs(covered(tokens, repeated, run), owner, run)
     left: dict[int, list[str]] = {}
     for token, block, out in zip(tokens, owner, gone.tolist()):
         if not out:
@@ -222,13 +239,20 @@ def assemble(html: str, repeated: set[int], run: int = RUN) -> tuple[str, int]:
     return "\n".join(kept), int(gone.sum())
 
 
+def _sent(table: DataFrame, size: Column) -> DataFrame:
+    """A table of hosts, written down and measured; sent to all executors if it is small, joined by host if not."""
+    table = table.checkpoint()
+    held = table.agg(F.sum(size)).first()[0] or 0
+    return F.broadcast(table) if held <= BROADCAST_BYTES else table
+
+
 def extract(df: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", run: int = RUN, pages: int = PAGES, share: float = SHARE) -> DataFrame:
     """``page_id, url, text, n_chars, n_repeated`` of every page.
 
     A host's pages are dealt into shards of bounded size; each shard's suffix array finds its runs of ``run`` tokens and counts the pages of
     each, and the counts of all shards are summed, so a host with a third of all pages is many tasks and the result does
     not depend on the shards.  A run in at least ``pages`` pages and ``share`` of the host's pages (in both, if it has two) is boilerplate; its
-    tokens are removed outside the main element, unique runs stay.  Inside an ``article`` or ``main`` element repeated
+    tokens are removed outside the main element (whole blocks, or stretches of a run's length inside a block), unique runs stay.  Inside an ``article`` or ``main`` element repeated
     passages are text: articles quote and copy each other.  Elements that by tag, class, id or role are menus, headers, footers, sidebars, notices, adverts,
     forms, comments, scripts or hidden are left out.
 
@@ -239,7 +263,8 @@ def extract(df: DataFrame, key: str = "page_id", url: str = "url", html: str = "
     kinds = dict(df.dtypes)
     base = df.select(F.col(key).alias("page_id"), F.col(url).alias("url"), F.coalesce(F.col(html), F.lit("")).alias("html"), host.alias("host"))
     base = base.withColumn("mark", F.xxhash64("page_id", "url", "html"))
-    count = base.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages"))
+    checkpoint_ready(df.sparkSession)
+    count = _sent(base.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages")).select(F.col("host").alias("of"), "host_pages"), F.octet_length("of") + 8)
 
     def tokens_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -248,7 +273,7 @@ def extract(df: DataFrame, key: str = "page_id", url: str = "url", html: str = "
 
     streams = base.select("host", "mark", "html").mapInArrow(tokens_of, "host string, mark bigint, tokens array<string>")
     sharded = (
-        streams.join(count.select(F.col("host").alias("of"), "host_pages"), F.col("host") == F.col("of"))
+        streams.join(count, F.col("host") == F.col("of")).drop("of")
         .withColumn("shard", F.pmod(F.col("mark"), F.ceil(F.col("host_pages") / SHARD_PAGES)))
         .groupBy("host", "host_pages", "shard")
     )
@@ -263,11 +288,8 @@ def extract(df: DataFrame, key: str = "page_id", url: str = "url", html: str = "
     enough = (F.col("pages") >= F.greatest(F.least(F.lit(pages), F.col("host_pages")), F.ceil(F.col("host_pages") * share))) & (F.col("pages") >= 2)
     repeated = runs.groupBy("host", "host_pages", "run").agg(F.sum("pages").alias("pages")).where(enough)
     # A run needs a share of the host's pages, so a host has no more of them than a page's length divided by the share.
-    checkpoint_ready(df.sparkSession)
-    known = repeated.groupBy("host").agg(F.sort_array(F.collect_list("run")).alias("runs")).select(F.col("host").alias("of"), "runs").checkpoint()
-    held = known.agg(F.sum(F.size("runs") * 8 + F.octet_length("of"))).first()[0] or 0
-    if held <= BROADCAST_BYTES:
-        known = F.broadcast(known)
+    known = repeated.groupBy("host").agg(F.sort_array(F.collect_list("run")).alias("runs")).select(F.col("host").alias("of"), "runs")
+    known = _sent(known, F.size("runs") * 8 + F.octet_length("of"))
 
     def text_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets: dict[str, set[int]] = {}

@@ -77,6 +77,17 @@ def brute(pages):
             for i in range(len(tokens) - RUN + 1):
                 if runs[tuple(tokens[i:i + RUN])] >= need:
                     gone[i:i + RUN] = [True] * RUN
+            for b in range(len(texts)):
+                at = [i for i, o in enumerate(owner) if o == b]
+                if not all(gone[i] for i in at):
+                    while at:
+                        n = 1
+                        while n < len(at) and gone[at[n]] == gone[at[0]]:
+                            n += 1
+                        if n < RUN:
+                            for i in at[:n]:
+                                gone[i] = False
+                        at = at[n:]
             kept = []
             for b, text in enumerate(texts):
                 left = " ".join(t for t, o, g in zip(tokens, owner, gone) if o == b and not g)
