@@ -249,7 +249,7 @@ def fit_weibull(sample: DataFrame, keys: Sequence[str] = ("node_id",), min_in_we
     if hot is None:
         fits = gathered(sample)
     else:
-        heavy = F.broadcast(hot.select(*keys))
+        heavy = hot.select(*keys)
         fits = gathered(sample.join(heavy, keys, "left_anti")).unionByName(
             _fit_spread(sample.join(heavy, keys, "left_semi"), keys, min_in_weight))
     totals = sample_totals(sample, keys).select(

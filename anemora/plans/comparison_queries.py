@@ -76,6 +76,24 @@ def monthly_acf(spark, sf_dir):
     return timeseries.autocorrelation(timeseries.segments(_series(spark, sf_dir), _CONFIG), 6)
 
 
+_ACF = """
+centred AS (SELECT node_id, segment_id, month, value - avg(value) OVER (PARTITION BY node_id, segment_id) AS x FROM parts),
+pairs AS (SELECT c.node_id, c.segment_id, k AS lag, c.x, lag(c.x, CAST(k AS INTEGER)) OVER (PARTITION BY c.node_id, c.segment_id, k ORDER BY c.month) AS y
+          FROM (SELECT *, unnest(generate_series(1, 3)) AS k FROM centred) c),
+r AS (SELECT node_id, segment_id, lag AS k, (sum(x * y) / (count(*) - lag)) / (sum(x * x) / count(*)) AS r FROM pairs GROUP BY 1, 2, pairs.lag),
+w AS (SELECT node_id, segment_id, max(r) FILTER (k = 1) AS a, max(r) FILTER (k = 2) AS b, max(r) FILTER (k = 3) AS c FROM r GROUP BY 1, 2)"""
+
+
+@query("monthly_pacf_first", f"""WITH {OBS_LONG}, {_MONTHS}, {_SEGMENTS}, {_ACF}
+  SELECT node_id, CAST(segment_id AS INTEGER) AS segment_id, a AS pacf_1, (b - a * a) / (1 - a * a) AS pacf_2,
+         (c - 2 * a * b + a ** 3 + a * b * b - a * a * c) / (1 - 2 * a * a + 2 * a * a * b - b * b) AS pacf_3 FROM w""", "pacf_1 pacf_2 pacf_3")
+def monthly_pacf_first(spark, sf_dir):
+    """The first three partial autocorrelations, which have closed forms."""
+    found = timeseries.partial_autocorrelation(timeseries.autocorrelation(timeseries.segments(_series(spark, sf_dir), _CONFIG), 3))
+    lag = F.col("lag")
+    return found.groupBy("node_id", "segment_id").agg(*[F.max(F.when(lag == k, F.col("pacf"))).alias(f"pacf_{k}") for k in (1, 2, 3)])
+
+
 @query("monthly_pacf")
 def monthly_pacf(spark, sf_dir):
     return timeseries.partial_autocorrelation(timeseries.autocorrelation(timeseries.segments(_series(spark, sf_dir), _CONFIG), 6))

@@ -274,10 +274,15 @@ def simplex_check(spark, sf_dir):
         F.col("prob_range_below") + F.col("prob_range_in") + F.col("prob_range_above")).alias("posterior_sum"))
 
 
-@query("anomalies", f"""WITH {OBS}, g AS (SELECT *, epoch_us("timestamp") - lag(epoch_us("timestamp")) OVER (PARTITION BY node_id ORDER BY "timestamp") AS gap FROM obs)
-  SELECT node_id, event_id, gap / 1e6 AS gap_seconds, 'gap' AS anomaly FROM g WHERE gap > 5400000000""", "gap_seconds")
+@query("anomalies", f"""WITH {OBS}, g AS (
+    SELECT *, epoch_us("timestamp") - lag(epoch_us("timestamp")) OVER (PARTITION BY node_id ORDER BY "timestamp") AS gap,
+           prob_range_below + prob_range_in * (1 + (event_id % 3) / 100e0) + prob_range_above AS total FROM obs)
+  SELECT node_id, event_id, gap / 1e6 AS gap_seconds, concat_ws(';', CASE WHEN gap > 5400000000 THEN 'gap' END, CASE WHEN abs(total - 1) > 1e-6 THEN 'posterior' END) AS anomaly
+  FROM g WHERE gap > 5400000000 OR abs(total - 1) > 1e-6""", "gap_seconds")
 def anomalies(spark, sf_dir):
-    found = ranges.anomalies(cadence.with_gaps(obs(spark, sf_dir)))
+    """Both rules: long gaps, and posteriors that were bent off the simplex."""
+    bent = obs(spark, sf_dir).withColumn("prob_range_in", F.col("prob_range_in") * (1 + (F.col("event_id") % 3) / F.lit(100.0)))
+    found = ranges.anomalies(cadence.with_gaps(bent))
     return found.select("node_id", "event_id", (F.col("gap_us") / F.lit(1e6)).alias("gap_seconds"), "anomaly")
 
 

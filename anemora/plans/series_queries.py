@@ -76,11 +76,11 @@ def gap_distribution(spark, sf_dir):
 @query("cadence_mode", f"""WITH {REF}, d AS (
     SELECT CAST(floor((epoch_us("timestamp") - lag(epoch_us("timestamp")) OVER (ORDER BY "timestamp")) / 1e6) AS BIGINT) AS s FROM ref),
   h AS (SELECT s, count(*) AS n FROM d WHERE s IS NOT NULL GROUP BY s)
-  SELECT (SELECT min(s) FROM h WHERE n = (SELECT max(n) FROM h)) AS nominal_seconds, CAST(count(*) AS INTEGER) AS interval_count,
+  SELECT (SELECT min(s) FROM h WHERE n = (SELECT max(n) FROM h)) AS nominal_seconds, string_agg(s, ',' ORDER BY s) AS intervals,
          CAST(sum(n) AS BIGINT) AS sample_count FROM h""")
 def cadence_mode(spark, sf_dir):
     out = cadence.cadence_mode(ref(spark, sf_dir))
-    return out.select("nominal_seconds", F.size("unique_intervals").alias("interval_count"), "sample_count")
+    return out.select("nominal_seconds", F.array_join(F.col("unique_intervals").cast("array<string>"), ",").alias("intervals"), "sample_count")
 
 
 @query("sentinel_filter", f"""WITH {REF} SELECT event_id, "timestamp", wind_speed, CASE WHEN wind_dir > -9000 THEN wind_dir END AS wind_dir
