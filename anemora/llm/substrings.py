@@ -35,12 +35,12 @@ def planes(values: np.ndarray) -> bytes:
 
 
 def _apart(values: np.ndarray) -> bytes:
-    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes()
+    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T).tobytes()
 
 
 def _together(data: bytes, kind: type) -> np.ndarray:
     width = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, -1).T).view(kind).ravel()
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, len(data) // width).T).view(kind).ravel()
 
 
 def unplanes(data: bytes, kind: type) -> np.ndarray:
@@ -94,8 +94,9 @@ class Chunk:
         n = max(0, len(self.words) - self.window + 1)
         start = np.flatnonzero((self.left[:n] >= self.window) & self.keyed[self.doc[:n]])
         start = start[missed[start + self.window - self.block + 1] == missed[start]]
-        half, rest = rolled(self.hashes, self.window // 2), rolled(self.hashes, self.window - self.window // 2)
-        a, b = half[start], rest[start + self.window // 2]
+        part = self.window // 2
+        b = rolled(self.hashes, self.window - part)[start + part]
+        a = rolled(self.hashes, part)[start] if part else b
         hashes, check = mix(a * _A + b), mix(a * _B + b * _C).astype(np.uint16)
         earlier = np.lexsort((self.place[start], self.keys[self.doc[start]])) if self._repeats() else np.arange(len(start))
         order = earlier[np.argsort(hashes[earlier], kind="stable")]
