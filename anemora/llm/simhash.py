@@ -32,11 +32,19 @@ _LANES = np.uint64(0x0101010101010101)
 
 def fingerprints(raw: np.ndarray, offsets: np.ndarray, shingle: int = 3, seed: int = 42) -> np.ndarray:
     """One 64-bit fingerprint per text; A-Z count as a-z, words are joined by one space."""
+    out = np.zeros(len(offsets) - 1, np.uint64)
+    some, counts, hashes = shingle_hashes(raw, offsets, shingle, seed)
+    if len(some):
+        out[some] = _majority(hashes, counts)
+    return out
+
+
+def shingle_hashes(raw: np.ndarray, offsets: np.ndarray, shingle: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which texts have words, how many shingles each of these has (one, if it has fewer words), and the shingles' hashes in order."""
     raw = np.where((raw >= 65) & (raw <= 90), raw + np.uint8(32), raw)
     words = Words(raw, offsets)
-    out = np.zeros(len(offsets) - 1, np.uint64)
     if not len(words):
-        return out
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
     sizes = words.end - words.start
     ends = np.cumsum(sizes + 1)
     begins = ends - sizes - 1
@@ -49,8 +57,7 @@ def fingerprints(raw: np.ndarray, offsets: np.ndarray, shingle: int = 3, seed: i
     last = np.minimum(first + shingle, np.repeat(words.first[some] + words.counts[some], counts)) - 1
     digest = xxhash.xxh64_intdigest
     hashes = np.fromiter((digest(data[a:b], seed) for a, b in zip(begins[first].tolist(), (ends[last] - 1).tolist())), np.uint64, len(first))
-    out[some] = _majority(hashes, counts)
-    return out
+    return some, counts, hashes
 
 
 def _ranges(counts: np.ndarray) -> np.ndarray:
