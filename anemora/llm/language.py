@@ -18,8 +18,12 @@ UNKNOWN = "und"
 #: Hashed features of affixes and n-grams, and the most frequent words of the sample, which have a feature each.
 FEATURES = 1 << 15
 LEXICON = 4_096
-#: The training sample: documents of a language, runs taken from each, words of a run; and the most languages that are learned.
-DOCUMENTS, RUNS, RUN_WORDS, LANGUAGES = 250, 4, 20, 64
+#: The training sample: documents of a language, runs taken from each, words of a run.
+DOCUMENTS, RUNS, RUN_WORDS = 250, 4, 20
+#: Documents of all languages together; many languages share them, down to ``FEWEST`` each, so that every language is learned.
+SAMPLE, FEWEST = 4_000, 16
+#: Numbers in one array of training or scoring; chains and texts are taken in pieces of this size.
+CELLS = 1 << 22
 
 _OTHER = np.ones(256, bool)
 _OTHER[ord("A"):ord("Z") + 1] = _OTHER[ord("a"):ord("z") + 1] = _OTHER[128:] = False
@@ -178,13 +182,17 @@ def _wide(flags: np.ndarray, like: np.ndarray) -> np.ndarray:
 def sample_runs(docs: DataFrame, per_label: int = DOCUMENTS, runs: int = RUNS, run_words: int = RUN_WORDS) -> list[tuple[str, str]]:
     """``(lang, words)``: runs of words spread over whole texts, from about ``per_label`` documents of each language.
 
-    ``docs`` has ``key, text, lang``.  Documents are drawn by a hash of their key; only the runs reach the driver.
+    ``docs`` has ``key, text, lang``.  Documents are drawn by a hash of their key; only the runs reach the driver.  Every language is
+    drawn from; above ``SAMPLE / per_label`` languages each gives fewer documents.
     """
-    sizes = docs.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    sizes = docs.groupBy("lang").count().collect()
     if not sizes:
         return []
-    parts = F.create_map(*[x for lang, n in sizes for x in (F.lit(lang), F.lit(min(1.0, per_label / n)))])
-    drawn = docs.where(F.pmod(F.xxhash64("key", F.lit("sample")), F.lit(1_000_000)) < F.element_at(parts, F.col("lang")) * 1_000_000)
+    per_label = min(per_label, max(FEWEST, SAMPLE // len(sizes)))
+    # A language of few documents gives all of them, so none is missed by chance.
+    parts = docs.sparkSession.createDataFrame([(lang, min(1.0, per_label / n) if n > FEWEST else 1.0) for lang, n in sizes], "of string, part double")
+    drawn = docs.join(F.broadcast(parts), F.col("lang") == F.col("of")).where(
+        F.pmod(F.xxhash64("key", F.lit("sample")), F.lit(1_000_000)) < F.col("part") * 1_000_000)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -244,12 +252,17 @@ def fit(runs: list[tuple[str, str]], rounds: int = 40, rate: float = 0.3, decay:
         for feature, begins in kinds:
             scores += np.add.reduceat(weights[feature], begins, axis=0)
         scores[known] += weights[FEATURES + rank[known]]
-        potential = np.exp(scores - scores.max(axis=1, keepdims=True))[inverse]
-        posterior = marginals(potential, np.exp(moves), counts)
-        expected = _pair_sums(potential, np.exp(moves), posterior, follows)
-        error = -posterior
-        error[np.arange(n), truth] += 1
-        per_word = np.stack([np.bincount(inverse, weights=error[:, k], minlength=len(first)) for k in range(len(labels))], axis=1)
+        potential = np.exp(scores - scores.max(axis=1, keepdims=True))
+        per_word, expected = np.zeros((len(first), len(labels))), np.zeros_like(moves)
+        for a, b in _pieces(counts, len(labels)):
+            some = slice(starts[a], starts[b - 1] + counts[b - 1])
+            error, sums = _short_marginals(potential[inverse[some]], np.exp(moves), counts[a:b])
+            expected += sums
+            error *= -1
+            error[np.arange(len(error)), truth[some]] += 1
+            order = np.argsort(inverse[some], kind="stable")
+            at = np.flatnonzero(np.diff(inverse[some][order], prepend=-1))
+            per_word[inverse[some][order[at]]] += np.add.reduceat(error[order], at, axis=0)
         slope = np.zeros_like(weights)
         for (feature, _), owner in zip(kinds, owners):
             for k in range(len(labels)):
@@ -263,6 +276,36 @@ def fit(runs: list[tuple[str, str]], rounds: int = 40, rate: float = 0.3, decay:
     return Model(labels, weights.astype(np.float32), moves.astype(np.float32), lexicon)
 
 
+def _pieces(counts: np.ndarray, labels: int) -> Iterator[tuple[int, int]]:
+    """Ranges of chains whose words times labels fill about ``CELLS``."""
+    ends, a = np.cumsum(counts), 0
+    while a < len(counts):
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + CELLS // labels, side="right")))
+        yield a, b
+        a = b
+
+
+def _short_marginals(potential: np.ndarray, moves: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As ``marginals`` for many short chains of one word at least, and the expected moves between labels: work grows with the square of the labels."""
+    starts, longest = np.cumsum(counts) - counts, int(counts.max())
+    order = np.argsort(-counts, kind="stable")
+    active = [starts[order[:k]] for k in np.searchsorted(-counts[order], -np.arange(1, longest + 1), side="right")]
+    ahead, behind = potential / potential.sum(axis=1, keepdims=True), np.ones_like(potential)
+    for k in range(1, longest):
+        at = active[k] + k
+        value = (ahead[at - 1] @ moves) * potential[at]
+        ahead[at] = value / value.sum(axis=1, keepdims=True)
+    sums = np.zeros_like(moves)
+    for k in range(longest - 1, 0, -1):
+        at = active[k] + k
+        right = potential[at] * behind[at]
+        left = right @ moves.T
+        sums += ahead[at - 1].T @ (right / (ahead[at - 1] * left).sum(axis=1, keepdims=True))
+        behind[at - 1] = left / left.sum(axis=1, keepdims=True)
+    posterior = ahead * behind
+    return posterior / posterior.sum(axis=1, keepdims=True), sums * moves
+
+
 def _pair_sums(potential: np.ndarray, moves: np.ndarray, posterior: np.ndarray, follows: np.ndarray) -> np.ndarray:
     """Expected moves between labels, from neighbours' posteriors.
 
@@ -300,7 +343,7 @@ def identify(df: DataFrame, model: Model, text: str = "text", into: tuple[str, s
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in slices(batch, text, 4 << 20):
+            for piece in _bounded(batch, text, len(model.labels)):
                 column = piece.column(text)
                 best, score = np.full(len(column), len(names) - 1), np.zeros(len(column))
                 if model.labels:
@@ -319,6 +362,15 @@ def identify(df: DataFrame, model: Model, text: str = "text", into: tuple[str, s
     return df.mapInArrow(work, schema)
 
 
+def _bounded(batch: pa.RecordBatch, text: str, labels: int) -> Iterator[pa.RecordBatch]:
+    """Pieces of a batch: a segment of a text takes a matrix of the labels' square, a text one segment at least."""
+    square = max(1, labels) ** 2
+    for piece in slices(batch, text, min(4 << 20, max(1 << 12, CELLS * 128 // square))):
+        rows = max(1, CELLS // square)
+        for a in range(0, piece.num_rows, rows):
+            yield piece.slice(a, rows)
+
+
 def _latin(column: pa.Array) -> np.ndarray:
     """Texts with an ASCII letter; the rest is asked letter by letter."""
     return np.asarray(pc.match_substring_regex(column, "[A-Za-z]").fill_null(False))

@@ -72,3 +72,33 @@ def test_nothing_to_learn_from(spark):
     assert language.identify(spark.createDataFrame([(1, "some text", None, None, None)], SCHEMA), model).first().lang_pred == "und"
     only = language.train(spark.createDataFrame([(1, "some text", "en", None, None), (2, "1 2", "de", None, None)], SCHEMA))
     assert only.labels == ("en",)
+
+
+def test_short_marginals_agree():
+    random = np.random.default_rng(1)
+    counts = np.array([3, 1, 7, 2, 5])
+    potential, moves = random.random((counts.sum(), 3)) + 0.01, random.random((3, 3)) + 0.01
+    got, sums = language._short_marginals(potential, moves, counts)
+    assert np.allclose(got, language.marginals(potential, moves, counts))
+    want, begin = np.zeros((3, 3)), 0
+    for n in counts:
+        joint, total = np.zeros((3, 3)), 0.0
+        for path in product(range(3), repeat=int(n)):
+            weight = np.prod([potential[begin + i, y] for i, y in enumerate(path)]) * np.prod([moves[a, b] for a, b in zip(path, path[1:])])
+            total += weight
+            for a, b in zip(path, path[1:]):
+                joint[a, b] += weight
+        want += joint / total
+        begin += n
+    assert np.allclose(sums, want)
+
+
+def test_every_language_is_learned(spark):
+    random, data = np.random.default_rng(8), []
+    for k in range(70):
+        words = ["".join(random.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(30)]
+        data += [(1000 * k + i, " ".join(random.choice(words, 40)), f"l{k:02}", 0, 0) for i in range(12 if k else 40)]
+    frame = spark.createDataFrame(data, SCHEMA)
+    model = language.train(frame)
+    assert model.labels == tuple(f"l{k:02}" for k in range(70))
+    assert np.mean([r.lang == r.lang_pred for r in language.identify(frame, model).collect()]) >= 0.97
