@@ -24,7 +24,7 @@ SHARD_PAGES = 512
 BROADCAST_BYTES = 64 << 20
 
 # Elements by what they mean for the text: fixed values of the HTML standard.
-_RAW = ("script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "math", "canvas", "object")
+_RAW = ("script", "style", "noscript", "template", "textarea", "title", "iframe")
 _APART = frozenset("nav header footer aside form menu dialog button select option label fieldset figcaption head".split()) | frozenset(_RAW)
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK = frozenset((
@@ -67,7 +67,11 @@ def blocks(html: str) -> tuple[list[str], list[bool], list[bool], bool]:
     texts, inside, marked = [], [], []
     stack: list[tuple[str, bool, bool]] = []
     pending: list[str] = []
-    has_main, last = False, 0
+    has_main, last, drawn = False, 0, False
+
+    def svg() -> int | None:
+        """Where the innermost drawing is open; its text is none of the page's."""
+        return next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == "svg"), None) if drawn else None
 
     def flush() -> None:
         text = "".join(pending)
@@ -80,7 +84,7 @@ def blocks(html: str) -> tuple[list[str], list[bool], list[bool], bool]:
 
     for token in _TOKEN.finditer(html):
         start, end = token.span()
-        if start > last:
+        if start > last and svg() is None:
             pending.append(html[last:start])
         last = end
         _, close, name, attributes = token.groups()
@@ -88,6 +92,9 @@ def blocks(html: str) -> tuple[list[str], list[bool], list[bool], bool]:
             continue
         name = name.lower()
         block = name in _BLOCK
+        # A block ends a drawing that is still open, as in HTML, but for what a foreignobject holds.
+        if block and not close and (at := svg()) is not None and all(e[0] != "foreignobject" for e in stack[at:]):
+            del stack[at:]
         if block or name in _APART:
             flush()
         if close:
@@ -107,7 +114,9 @@ def blocks(html: str) -> tuple[list[str], list[bool], list[bool], bool]:
         elif name != "html" and name != "body":
             apart = apart or name in _APART or bool(attributes) and _is_marked(attributes)
         stack.append((name, main, apart))
-    pending.append(html[last:])
+        drawn = drawn or name == "svg"
+    if svg() is None:
+        pending.append(html[last:])
     flush()
     return texts, inside, marked, has_main
 

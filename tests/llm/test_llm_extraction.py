@@ -110,3 +110,15 @@ def test_extract_against_brute_force(spark, monkeypatch, shard, broadcast):
     assert texts[0].startswith("text number 0") and "Start" not in texts[3] and "reserved" not in texts[3]
     assert texts[100] == "Start News Sport Money Culture Travel\nown 0" and texts[202] == "Start News Sport Money Culture Travel"
     assert extract(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_embedded_elements_keep_the_article():
+    def text(html):
+        return assemble(html, set())[0]
+
+    assert text('<article><p>one <svg width="1"/>two</p><p>three</p></article>') == "one two\nthree"
+    assert text("<article><p>one <svg><title>t</title><text>drawn</text></svg>two</p></article>") == "one two"
+    assert text("<article><p>one <svg><text>drawn<p>two</p></article>") == "one\ntwo"
+    assert text("<article><p>sum <math><mi>x</mi><mo>=</mo><mn>1</mn></math> here <math/>too</p></article>") == "sum x=1 here too"
+    assert text("<article><p>a <object data='x'>instead</p><p>b</p></article>") == "a instead\nb"
+    assert text("<article><p>a <canvas>chart of b</canvas></p><p>c</p></article>") == "a chart of b\nc"
