@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Set
 from html import unescape
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +18,8 @@ from anemora.session import checkpoint_ready
 
 #: Tokens from which on a repeated run counts as long; pages and share of a host's pages that must hold it.
 RUN, PAGES, SHARE = 6, 3, 0.25
+#: Different pages of a host from which on whole blocks repeated word for word are boilerplate, whatever the host's size.
+BLOCK_PAGES = 16
 #: Pages whose streams one suffix array holds.
 SHARD_PAGES = 512
 
@@ -225,14 +228,35 @@ def whole_runs(gone: np.ndarray, owner: list[int], run: int) -> np.ndarray:
     return out
 
 
-def assemble(html: str, repeated: set[int], run: int = RUN) -> tuple[str, int]:
-    """The page's main text and the tokens outside the main element that lie in repeated runs.
+def spans(html: str, run: int = RUN) -> list[tuple[int, list[int]]]:
+    """Hash and blocks of each least row of neighbouring whole blocks with ``run`` tokens or more; none on pages with a main element."""
+    texts, inside, marked, has_main = blocks(html)
+    if has_main:
+        return []
+    open_ = [i for i in range(len(texts)) if not marked[i]]
+    words = [texts[i].count(" ") + 1 for i in open_]
+    out = []
+    for a in range(len(open_)):
+        b, n = a, 0
+        while b < len(open_) and n < run:
+            n += words[b]
+            b += 1
+        if n >= run:
+            out.append((xxhash.xxh64_intdigest("\n".join(texts[i] for i in open_[a:b]).encode("utf-8", "replace")) - (1 << 63), open_[a:b]))
+    return out
+
 
-    Repeated runs go first.  What is left outside a main element counts only if the page has
+def assemble(html: str, repeated: set[int], run: int = RUN, same: Set[int] = frozenset()) -> tuple[str, int]:
+    """The page's main text and the tokens outside the main element that lie in repeated runs or in whole blocks of ``same``.
+
+    Repeated runs and blocks go first.  What is left outside a main element counts only if the page has
     none, and what is marked as something else never counts.
     """
     tokens, owner, texts, inside, marked, has_main = stream(html)
     gone = whole_runs(covered(tokens, repeated, run), owner, run)
+    if same:
+        out = {i for h, some in spans(html, run) if h in same for i in some}
+        gone |= np.array([i in out for i in owner], bool)
     left: dict[int, list[str]] = {}
     for token, block, out in zip(tokens, owner, gone.tolist()):
         if not out:
@@ -255,13 +279,32 @@ def _sent(table: DataFrame, size: Column) -> DataFrame:
     return F.broadcast(table) if held <= BROADCAST_BYTES else table
 
 
+def _same_blocks(base: DataFrame, run: int) -> DataFrame:
+    """``(_host, _page, same)``: the spans of each different page that ``BLOCK_PAGES`` different pages of its host hold.
+
+    Spans are rows joined by host and hash, never a list for a host; a page's list is no longer than the page.
+    """
+    def spans_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [sorted({h for h, _ in spans(html, run)}) for html in batch.column("html").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("host"), batch.column("page"), pa.array(found, pa.list_(pa.int64()))], ["host", "page", "spans"])
+
+    rows = base.select("host", F.xxhash64("html").alias("page"), "html").mapInArrow(spans_of, "host string, page bigint, spans array<bigint>")
+    rows = rows.select("host", "page", F.explode("spans").alias("span")).distinct().checkpoint()
+    often = rows.groupBy("host", "span").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= BLOCK_PAGES).select(F.col("host").alias("_host"), F.col("span").alias("_span"))
+    kept = rows.join(often, (F.col("host") == F.col("_host")) & (F.col("span") == F.col("_span")), "left_semi")
+    lists = kept.groupBy("host", "page").agg(F.collect_list("span").alias("same")).select(F.col("host").alias("_host"), F.col("page").alias("_page"), "same")
+    return _sent(lists, F.size("same") * 8 + F.octet_length("_host") + 16)
+
+
 def extract(df: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", run: int = RUN, pages: int = PAGES, share: float = SHARE) -> DataFrame:
     """``page_id, url, text, n_chars, n_repeated`` of every page.
 
     A host's pages are dealt into shards of bounded size; each shard's suffix array finds its runs of ``run`` tokens and counts the pages of
     each, and the counts of all shards are summed, so a host with a third of all pages is many tasks and the result does
     not depend on the shards.  A run in at least ``pages`` pages and ``share`` of the host's pages (in both, if it has two) is boilerplate; its
-    tokens are removed outside the main element (whole blocks, or stretches of a run's length inside a block), unique runs stay.  Inside an ``article`` or ``main`` element repeated
+    tokens are removed outside the main element (whole blocks, or stretches of a run's length inside a block), unique runs stay.  On pages without a main element neighbouring whole blocks of ``run`` tokens that
+    ``BLOCK_PAGES`` different pages of the host hold word for word go too, so the boilerplate of one section of a large host does.  Inside an ``article`` or ``main`` element repeated
     passages are text: articles quote and copy each other.  Elements that by tag, class, id or role are menus, headers, footers, sidebars, notices, adverts,
     forms, comments, scripts or hidden are left out.
 
@@ -300,19 +343,22 @@ def extract(df: DataFrame, key: str = "page_id", url: str = "url", html: str = "
     known = repeated.groupBy("host").agg(F.sort_array(F.collect_list("run")).alias("runs")).select(F.col("host").alias("of"), "runs")
     known = _sent(known, F.size("runs") * 8 + F.octet_length("of"))
 
+    same = _same_blocks(base, run)
+
     def text_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets: dict[str, set[int]] = {}
         for batch in batches:
             texts, gone = [], []
-            for h, name, runs_of in zip(batch.column("html").to_pylist(), batch.column("host").to_pylist(), batch.column("runs")):
+            for h, name, runs_of, spans_of in zip(*(batch.column(c).to_pylist() for c in ("html", "host")), batch.column("runs"), batch.column("same")):
                 if name not in sets:
                     sets = {name: set(runs_of.as_py() or ())}
-                text, n = assemble(h, sets[name], run)
+                text, n = assemble(h, sets[name], run, frozenset(spans_of.as_py() or ()))
                 texts.append(text)
                 gone.append(n)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array(gone, pa.int64())], ["page_id", "url", "text", "n_repeated"])
 
-    found = base.join(known, F.col("host") == F.col("of"), "left").select("page_id", "url", "html", "host", "runs").mapInArrow(
+    pages_of = base.withColumn("page", F.xxhash64("html")).join(same, (F.col("host") == F.col("_host")) & (F.col("page") == F.col("_page")), "left")
+    found = pages_of.join(known, F.col("host") == F.col("of"), "left").select("page_id", "url", "html", "host", "runs", "same").mapInArrow(
         text_of, f"page_id {kinds[key]}, url {kinds[url]}, text string, n_repeated bigint")
     return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"), "n_repeated")

@@ -122,3 +122,22 @@ def test_embedded_elements_keep_the_article():
     assert text("<article><p>sum <math><mi>x</mi><mo>=</mo><mn>1</mn></math> here <math/>too</p></article>") == "sum x=1 here too"
     assert text("<article><p>a <object data='x'>instead</p><p>b</p></article>") == "a instead\nb"
     assert text("<article><p>a <canvas>chart of b</canvas></p><p>c</p></article>") == "a chart of b\nc"
+
+
+@pytest.mark.parametrize("broadcast", [64 << 20, 0])
+def test_boilerplate_of_a_section_goes(spark, monkeypatch, broadcast):
+    """A box on a tenth of a host's pages goes; what few pages share and what shares only a phrase stays."""
+    monkeypatch.setattr(extraction, "BROADCAST_BYTES", broadcast)
+    box = "<div><span>Our desk</span><ul><li>Rugby<li>Chess<li>Rowing<li>Darts</ul></div><div>Write to the desk of this section any day</div>"
+    pages = []
+    for i in range(300):
+        own = f"<p>page {i} tells a story {i * 7} of its own</p>"
+        shared = f"<p>{i} as everyone in this town will know by now {i}</p>" if i % 10 == 1 else ""
+        few = "<p>a notice that only very few pages hold</p>" if i < 6 else ""
+        pages.append((i, f"https://a.example/{i}", own + shared + few + (box if i % 10 == 0 else ""), 0, "x"))
+    texts = {r.page_id: r.text for r in extract(spark.createDataFrame(pages, SCHEMA)).collect()}
+    for i in range(300):
+        want = [f"page {i} tells a story {i * 7} of its own"]
+        want += [f"{i} as everyone in this town will know by now {i}"] if i % 10 == 1 else []
+        want += ["a notice that only very few pages hold"] if i < 6 else []
+        assert texts[i] == "\n".join(want)
