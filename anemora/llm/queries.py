@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from anemora.llm import extraction, language, mixing, mtree, packing, quality, sharding, simhash, substrings, vectors
+from anemora.llm import alignment, extraction, language, lexical, mixing, mtree, packing, quality, sharding, simhash, substrings, token_files, vectors
 from anemora.llm.common import table
+from anemora.llm.pieces import default_path
+from anemora.session import checkpoint_ready
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -83,6 +86,25 @@ def op10_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs.select("doc_id", "text"), model).select("doc_id", out.alias("held_out"), "lang_pred", "score")
 
 
+@register
+def op11_shared_accumulators(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register
+def op12_interval_coalescing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), default_path("byte_bpe_50k.json"), default_path("piece_bpe_32k.model"))
+
+
+@register
+def op13_simple8b_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    checkpoint_ready(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/token-ids-{uuid.uuid4().hex}"
+    token_files.write(docs, path, default_path("byte_bpe_50k.json"))
+    return token_files.digests(spark, path)
+
+
 _TREE = sharding.Tree.even(SHARDS)
 _KEY = "coalesce(CAST(doc_id AS VARCHAR), '')"
 
