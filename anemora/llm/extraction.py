@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator, Set
 from html import unescape
 
@@ -13,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from anemora.llm.common import Words, mix
+from anemora.llm.markup import RAW, attributes, scan
 from anemora.llm.substrings import rolled
 from anemora.session import checkpoint_ready
 
@@ -27,8 +29,7 @@ SHARD_PAGES = 512
 BROADCAST_BYTES = 64 << 20
 
 # Elements by what they mean for the text: fixed values of the HTML standard.
-_RAW = ("script", "style", "noscript", "template", "textarea", "title", "iframe")
-_APART = frozenset("nav header footer aside form menu dialog button select option label fieldset figcaption head".split()) | frozenset(_RAW)
+_APART = frozenset("nav header footer aside menu dialog button select option head".split()) | frozenset(RAW)
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK = frozenset((
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
@@ -42,39 +43,70 @@ _MARKED = frozenset((
     "pagination popup privacy promo promoted promotion recommended related reply replies respond search share sharing sidebar signup site-footer site-header "
     "skip social sponsor sponsored subscribe subscription tagcloud toolbar widget widgets alert contentinfo complementary").split())
 
-_ATTRIBUTES = r"[^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*"
-_TOKEN = re.compile(
-    rf"<(?:(?P<raw>{'|'.join(_RAW)})(?=[\s/>]){_ATTRIBUTES}>.*?(?:</(?P=raw)\s*>|\Z)|(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attr>{_ATTRIBUTES})>|"
-    r"!--.*?(?:-->|\Z)|!\[CDATA\[.*?(?:\]\]>|\Z)|[!?][^>]*>)", re.DOTALL | re.IGNORECASE)
-_ROLE = re.compile(r"role\s*=\s*[\"']?main\b", re.IGNORECASE)
-_NAMES = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|style\s*=\s*[\"'][^\"']*display\s*:\s*none", re.IGNORECASE)
-
-
-def _is_marked(attributes: str) -> bool:
-    if not attributes.strip():
-        return False
-    for found in _NAMES.findall(attributes):
-        for name in unescape("".join(found)).lower().split():
-            if name in _MARKED or any(part in _MARKED for part in re.split(r"[-_:]+", name)):
-                return True
-    return bool(_HIDDEN.search(attributes))
+# What a mark by an element's kind or names is worth; text under a weak mark counts if the page has none without.
+_PLAIN, _FORM, _COMPOUND, _FIRM = range(4)
+#: Share of a page's unmarked text that an article must hold to be its main element; shorter ones are teasers.
+MAIN_SHARE = 0.25
+_HIDES = re.compile(r"display\s*:\s*none", re.IGNORECASE)
+
+
+def _mark(name: str, held: dict[str, str]) -> int:
+    """How firmly an element is marked as none of the article."""
+    if name in _APART or "hidden" in held or held.get("aria-hidden", "").strip().lower() == "true" or _HIDES.search(held.get("style", "")):
+        return _FIRM
+    found = _FORM if name == "form" else _PLAIN
+    for word in f"{held.get('class', '')} {held.get('id', '')} {held.get('role', '')}".lower().split():
+        if word in _MARKED:
+            return _FIRM
+        if any(part in _MARKED for part in re.split(r"[-_:]+", word)):
+            found = _COMPOUND
+    return found
+
+
+class _Open:
+    """The open elements: name, number of the main element, mark; where each name is open is known without a search."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, int, int]] = []
+        self.at: dict[str, list[int]] = defaultdict(list)
+        self.blocks: list[int] = []
+
+    def push(self, name: str, main: int, mark: int) -> None:
+        self.at[name].append(len(self.stack))
+        if name in _BLOCK:
+            self.blocks.append(len(self.stack))
+        self.stack.append((name, main, mark))
+
+    def cut(self, depth: int) -> None:
+        for name, _, _ in reversed(self.stack[depth:]):
+            self.at[name].pop()
+            if name in _BLOCK:
+                self.blocks.pop()
+        del self.stack[depth:]
+
+    def last(self, name: str) -> int:
+        return self.at[name][-1] if self.at[name] else -1
+
+    def end_paragraph(self, name: str) -> None:
+        """A new block ends an open paragraph, with what it holds; a list item or cell also ends the one before."""
+        if self.blocks and self.stack[self.blocks[-1]][0] == "p":
+            self.cut(self.blocks[-1])
+        if name in _ENDS and self.last(name) > max(self.last(stop) for stop in _ENDS[name]):
+            self.cut(self.last(name))
 
 
 def blocks(html: str) -> tuple[list[str], list[bool], list[bool], bool]:
     """The page's text blocks in order: text, whether inside the main element, whether inside something marked; whether there is a main element.
 
     References are decoded, white space inside a block is one space, blocks without text are left out.
-    Unclosed elements end with their parent; a paragraph ends where a block begins.
+    Unclosed elements end with their parent; a paragraph ends where a block begins.  The main element is the outermost ``article``, ``main`` or
+    role main with the most text, first among those that nothing marked holds; one that holds less than ``MAIN_SHARE`` of the unmarked text is none.
+    A header goes with its title, inside the article too.  Where all text is under weak marks (a form, one word of a longer class name), the weakest
+    of these are dropped, so a page wrapped in a form keeps its text.
     """
-    texts, inside, marked = [], [], []
-    stack: list[tuple[str, bool, bool]] = []
-    pending: list[str] = []
-    has_main, last, drawn = False, 0, False
-
-    def svg() -> int | None:
-        """Where the innermost drawing is open; its text is none of the page's."""
-        return next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == "svg"), None) if drawn else None
+    texts, mains, marks = [], [], []
+    open_, pending = _Open(), []
+    firm_outside: list[int] = []  # of each main element, the mark it lies in
 
     def flush() -> None:
         text = "".join(pending)
@@ -82,62 +114,69 @@ def blocks(html: str) -> tuple[list[str], list[bool], list[bool], bool]:
         text = " ".join((unescape(text) if "&" in text else text).split())
         if text:
             texts.append(text)
-            inside.append(stack[-1][1] if stack else False)
-            marked.append(stack[-1][2] if stack else False)
-
-    for token in _TOKEN.finditer(html):
-        start, end = token.span()
-        if start > last and svg() is None:
-            pending.append(html[last:start])
-        last = end
-        _, close, name, attributes = token.groups()
-        if name is None:
+            mains.append(open_.stack[-1][1] if open_.stack else -1)
+            marks.append(open_.stack[-1][2] if open_.stack else _PLAIN)
+
+    for kind, name, inner in scan(html):
+        if kind == "text":
+            if open_.last("svg") < 0:
+                pending.append(name)
             continue
-        name = name.lower()
         block = name in _BLOCK
         # A block ends a drawing that is still open, as in HTML, but for what a foreignobject holds.
-        if block and not close and (at := svg()) is not None and all(e[0] != "foreignobject" for e in stack[at:]):
-            del stack[at:]
+        if block and kind == "open" and (at := open_.last("svg")) > open_.last("foreignobject"):
+            open_.cut(at)
         if block or name in _APART:
             flush()
-        if close:
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
-            if depth is not None:
-                del stack[depth:]
+        if kind == "close":
+            if open_.at[name]:
+                open_.cut(open_.last(name))
             continue
         if block:
-            _end_paragraph(stack, name)
+            open_.end_paragraph(name)
         elif name == "br" or name == "img" or name == "input":
             pending.append(" ")
-        if name in _VOID or not block and attributes.endswith("/"):
+        if name in _VOID or not block and inner.endswith("/"):
             continue
-        main, apart = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-        if name in _MAIN or attributes and _ROLE.search(attributes):
-            main = has_main = True
+        main, mark = open_.stack[-1][1:] if open_.stack else (-1, _PLAIN)
+        held = attributes(inner) if inner else {}
+        if name in _MAIN or held.get("role", "").strip().lower() == "main":
+            if main < 0:
+                main = len(firm_outside)
+                firm_outside.append(mark)
+                # Inside, only what lies inside marks; where it lies is weighed when the main element is chosen.
+                mark = _PLAIN
+            mark = max(mark, _mark("", held | {"role": ""}))
         elif name != "html" and name != "body":
-            apart = apart or name in _APART or bool(attributes) and _is_marked(attributes)
-        stack.append((name, main, apart))
-        drawn = drawn or name == "svg"
-    if svg() is None:
-        pending.append(html[last:])
+            mark = max(mark, _mark(name, held))
+        open_.push(name, main, mark)
     flush()
-    return texts, inside, marked, has_main
+    chosen = _main(texts, mains, marks, firm_outside)
+    if chosen < 0:
+        marks = [max(mark, firm_outside[main]) if main >= 0 else mark for main, mark in zip(mains, marks)]
+    within = [mark for main, mark in zip(mains, marks) if chosen < 0 or main == chosen]
+    limit = min((m for m in within if m < _FIRM), default=_PLAIN)
+    return texts, [chosen >= 0 and main == chosen for main in mains], [mark > limit for mark in marks], chosen >= 0
+
+
+def _main(texts: list[str], mains: list[int], marks: list[int], outside: list[int]) -> int:
+    """Number of the main element, or -1."""
+    held = [0] * len(outside)
+    free = 0
+    for text, main, mark in zip(texts, mains, marks):
+        if main >= 0 and mark < _FIRM:
+            held[main] += len(text)
+        if mark == _PLAIN and (main < 0 or outside[main] == _PLAIN):
+            free += len(text)
+    best = max(range(len(held)), key=lambda i: (held[i] > 0, -outside[i], held[i], -i), default=-1)
+    if best < 0 or not held[best] or outside[best] == _FIRM or held[best] < MAIN_SHARE * free:
+        return -1
+    return best
 
 
 _ENDS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "tr": {"table", "tbody", "thead", "tfoot"}}
 
 
-def _end_paragraph(stack: list[tuple[str, bool, bool]], name: str) -> None:
-    """A new block ends an open paragraph, with what it holds; a list item or cell also ends the one before."""
-    for want, stops in (("p", _BLOCK), *([(name, _ENDS[name])] if name in _ENDS else [])):
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] == want:
-                del stack[i:]
-                break
-            if stack[i][0] in stops:
-                break
-
-
 def stream(html: str) -> tuple[list[str], list[int], list[str], list[bool], list[bool], bool]:
     """Tokens outside the main element with their blocks, and the blocks."""
     texts, inside, marked, has_main = blocks(html)
@@ -217,6 +256,8 @@ def whole_runs(gone: np.ndarray, owner: list[int], run: int) -> np.ndarray:
     A run that ends in the next block's first words does not take these along.
     """
     out = gone.copy()
+    if not gone.any():
+        return out
     edges = np.flatnonzero(np.diff(owner, prepend=-1, append=-1)) if len(owner) else []
     for a, b in zip(edges[:-1], edges[1:]):
         if gone[a:b].all():

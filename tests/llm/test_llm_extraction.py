@@ -1,3 +1,4 @@
+import time
 from collections import Counter
 
 import pytest
@@ -141,3 +142,63 @@ def test_boilerplate_of_a_section_goes(spark, monkeypatch, broadcast):
         want += [f"{i} as everyone in this town will know by now {i}"] if i % 10 == 1 else []
         want += ["a notice that only very few pages hold"] if i < 6 else []
         assert texts[i] == "\n".join(want)
+
+
+def _text(html):
+    return assemble(html, set())[0]
+
+
+def test_marks_are_names_not_values():
+    assert _text('<p title="The hidden truth">a</p><p hidden>b</p><p data-x="hidden">c</p>') == "a\nc"
+    assert _text('<article><p>a</p></article><div data-role="main"><p>long text that is not the main element</p></div>') != "long text that is not the main element"
+    assert _text('<div><p>x y z</p></div><div role="main">main text</div>') == "main text"
+    assert _text("<p style='color:red;display : none'>a</p><p>b</p><p aria-hidden=false>c</p><p ARIA-HIDDEN=true>d</p>") == "b\nc"
+
+
+def test_parts_of_an_article_stay():
+    assert _text("<article><figure><img><figcaption>A picture</figcaption></figure><fieldset><label>Field</label></fieldset><p>t</p></article>") == "A picture\nField\nt"
+    # A header goes with its title, also inside the article; a bare heading stays.
+    assert _text("<article><header><h1>Title</h1></header><h2>Part</h2><p>t</p></article>") == "Part\nt"
+
+
+def test_main_element_is_the_one_with_text():
+    assert _text('<main id="top"></main><div><p>the article follows</p></div>') == "the article follows"
+    body = "<p>" + "body text " * 40 + "</p>"
+    assert _text(f"<div>{body}</div><ul><li><article>teaser one</article><li><article>teaser two</article></ul>").startswith("body text")
+    assert _text(f"<article><p>short</p></article><article>{body}</article>") == ("body text " * 40).strip()
+    assert _text(f'<div class="related"><article>{body}</article></div><article><p>the article itself</p></article>') == "the article itself"
+
+
+def test_weak_marks_yield():
+    assert _text("<body><form><div><p>all of it</p></div></form></body>") == "all of it"
+    assert _text('<section id="search-results"><p>one</p><p>two</p></section>') == "one\ntwo"
+    assert _text('<p>text</p><div class="cookie-notice">We use cookies</div><form>Mail</form>') == "text"
+    assert _text("<form><article><p>wrapped</p></article></form>") == "wrapped"
+    assert _text("<form><article><p>wrapped</p><form>inner</form></article></form>") == "wrapped"
+
+
+def test_open_quotes_are_no_markup():
+    assert _text('<p class="x>one</p><p class="y">two</p>') == "one\ntwo"
+    assert _text('<p class="x>one</p><p>two</p>') == "one\ntwo"
+    assert _text("<p title=\"a > b\">one</p><p title='=\"'>two</p>") == "one\ntwo"
+    assert _text("<p>one</p><p>two <b") == "one\ntwo"
+
+
+ODD = {
+    "open scripts": "<script ", "closed scripts": "<script></scrip", "quotes": '<a x="b c\'', "open quotes": '<p class="x>y', "apostrophes": "<a b='c>", "brackets": "<", "comments": "<!--",
+    "attributes": 'x y="1" ', "equals": "= ", "depth": "<b><div>", "paragraphs": "<p><b>", "lists": "<ul><li>", "titles": "<title>x</title ", "drawings": "<svg><g>", "references": "&amp", "rows": "<tr><td>",
+}
+
+
+@pytest.mark.parametrize("name", ODD)
+@pytest.mark.parametrize("head, tail", [("", ""), ("<a ", ">"), ("<div>" * 1000 + "<b>" * 50_000, "</p>" * 10_000)])
+def test_time_grows_with_the_page(name, head, tail):
+    def seconds(size):
+        page = head + ODD[name] * (size // len(ODD[name])) + tail
+        start = time.process_time()
+        blocks(page)
+        return time.process_time() - start
+
+    small, large = seconds(125_000), seconds(1_000_000)
+    # Eight times the page; a quadratic search would take sixty-four times as long.
+    assert large < 20 * small + 1
