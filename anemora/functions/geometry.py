@@ -36,6 +36,11 @@ def point_coordinates(wkb: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["lon", "lat"])
 
 
+def from_hex(text: Column) -> Column:
+    """Bytes of hexadecimal text, such as a geometry column of a CSV file; null where it is none."""
+    return F.unhex(F.trim(text))
+
+
 def geojson_point(lon: Column, lat: Column) -> Column:
     return F.struct(F.lit("Point").alias("type"), F.array(lon, lat).alias("coordinates"))
 

@@ -31,3 +31,26 @@ def with_default(rows: DataFrame, settings: DataFrame, column: str, default, key
     """Join a per-node setting and fill in the default for nodes that have none."""
     return rows.join(settings.select(key, column), key, "left").withColumn(
         column, F.coalesce(F.col(column), F.lit(default)))
+
+
+def error_assessments(taxonomy: DataFrame, records: Sequence[RmseRecord], at: str = "as_of") -> DataFrame:
+    """What is known of each node's error: no value of its own, and the record that holds at its time ``at``.
+
+    One row per row of ``taxonomy`` with its bands, the record's version, value, unit and source, and the reason in words.  A node at a
+    time without a record keeps its row and says so.
+    """
+    records = list(records)
+    held = effective_record(taxonomy, records, at)
+    of = {name: _by_version(records, name) for name in ("unit", "source")}
+    reason = F.when(F.col("version").isNull(), "No error of this node is known, and no global RMSE holds at its time.").otherwise(F.concat(
+        F.lit("No error of this node is known; the global RMSE "), F.format_string("%.6f", F.col("rmse")), F.lit(" "), of["unit"], F.lit(" (source "), of["source"], F.lit(") stands in.")))
+    return held.select(
+        "node_id", F.lit(None).cast("double").alias("node_rmse"), F.col("version").alias("global_version"), F.col("rmse").alias("global_rmse"),
+        of["unit"].alias("unit"), of["source"].alias("source"), reason.alias("limitation"), "coverage_band", "continuity_band", "low_coverage")
+
+
+def _by_version(records: Sequence[RmseRecord], field: str) -> Column:
+    found = F.lit(None).cast("string")
+    for record in records:
+        found = F.when(F.col("version") == record.version, F.lit(getattr(record, field))).otherwise(found)
+    return found

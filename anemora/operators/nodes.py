@@ -143,3 +143,14 @@ def nested_records(obs: DataFrame, key: str, order: Sequence[str], columns: Sequ
     part = F.expr(f"(__n - 1) div {max_per_list}")
     return counted.groupBy(key, part.alias("part")).agg(
         F.sort_array(F.collect_list(F.struct(*order, *columns))).alias("records"))
+
+
+def flag_counts(df: DataFrame, flags: Sequence[str]) -> DataFrame:
+    """``flag, nodes, percentage``: on how many rows each flag is raised, and of how many in a hundred; zero of no rows.
+
+    One aggregate over all flags; a null flag is not raised.
+    """
+    counted = df.agg(F.count(F.lit(1)).alias("__all"), *[F.count_if(F.col(f)).alias(f) for f in flags])
+    each = F.explode(F.array(*[F.struct(F.lit(f).alias("flag"), F.col(f).alias("nodes")) for f in flags])).alias("e")
+    return counted.select("__all", each).select(
+        "e.flag", "e.nodes", F.when(F.col("__all") > 0, F.col("e.nodes") / F.col("__all") * 100.0).otherwise(0.0).alias("percentage"))

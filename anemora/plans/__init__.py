@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ("label_queries", "series_queries", "estimator_queries", "comparison_queries")
+_MODULES = ("label_queries", "series_queries", "estimator_queries", "comparison_queries", "stream_queries")
 
 
 def load_queries():

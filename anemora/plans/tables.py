@@ -24,6 +24,11 @@ def _k() -> F.Column:
 
 
 def obs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return obs_of(table(spark, sf_dir, "events"))
+
+
+def obs_of(events: DataFrame) -> DataFrame:
+    """Observations from events, a table or a stream."""
     k = F.col("k")
     kind = F.col("event_type")
     label = (
@@ -31,7 +36,7 @@ def obs(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == "purchase", "above")
         .otherwise(F.when(k < 50, "below").when(k < 80, "left").when(k < 90, " in "))
     )
-    return table(spark, sf_dir, "events").withColumn("k", _k()).select(
+    return events.withColumn("k", _k()).select(
         F.concat(F.lit("NODE_"), F.lpad((F.col("user_id") % 20).cast("string"), 2, "0")).alias("node_id"),
         "event_id", F.col("ts").alias("timestamp"),
         F.when(F.col("event_id") % 97 != 0, F.col("value") / 5).alias("pred_wind_speed"),

@@ -100,6 +100,16 @@ def as_observations(df: DataFrame, *, node: str | Column, speed: str, timestamp:
         F.lit(1.0).alias("prob_range_in"), F.lit(0.0).alias("prob_range_above"))
 
 
+def node_series(df: DataFrame, node_id: str, ts: str = "timestamp") -> DataFrame:
+    """The rows of one node in order of time; a node without rows is an error, found by reading one row."""
+    if "node_id" not in df.columns:
+        raise KeyError("the table has no node_id column")
+    rows = df.where(F.col("node_id") == node_id)
+    if rows.isEmpty():
+        raise ValueError(f"no records of node {node_id!r}")
+    return rows.orderBy(ts)
+
+
 def uncensored_records(df: DataFrame, *, node: str | None = None, node_name: str = "series", speed: str = "wind_speed",
                        timestamp: str = "timestamp") -> DataFrame:
     """Coerced, finite, positive speeds on the observation shape; unreadable rows go."""
@@ -161,3 +171,75 @@ def read_intervals(spark: SparkSession, path: str, metric: str, key: str = "node
 def read_records(spark: SparkSession, path: str, key: str = "node_id", records: str = "records") -> DataFrame:
     """JSON lines with one array of records per node, flattened to rows."""
     return spark.read.json(path).select(key, F.explode(records).alias("r")).select(key, "r.*")
+
+
+# --- records whose fields are known by path only ---
+
+
+def records(spark: SparkSession, path: str) -> DataFrame:
+    """``place, record`` of a JSON document's records as VARIANT: lines, a list, or an object of objects.
+
+    ``place`` orders the records of a file; what is no object is no record.  Lines are read in parts; a document is one value.
+    """
+    if path.endswith(".jsonl"):
+        lines = spark.read.text(path).where(F.trim("value") != "")
+        found = lines.select(F.monotonically_increasing_id().alias("place"), F.parse_json("value").alias("record"))
+    else:
+        document = spark.read.option("wholetext", True).text(path).select(F.parse_json("value").alias("document"))
+        found = document.lateralJoin(spark.tvf.variant_explode(F.col("document").outer())).select(F.col("pos").cast("long").alias("place"), F.col("value").alias("record"))
+    return found.where(F.schema_of_variant("record").startswith("OBJECT"))
+
+
+def variant_text(record: Column, path: Column | str) -> Column:
+    """The value at a JSON path, fixed or from a column, as text; null where there is none, or it is empty or a null."""
+    return F.nullif(F.try_variant_get(record, path, "string"), F.lit(""))
+
+
+def _quoted(names: Sequence[str]) -> str:
+    return "$" + "".join("['" + n.replace("\\", "\\\\").replace("'", "\\'") + "']" for n in names)
+
+
+def metric_of(fields: Sequence[str | None]) -> str | None:
+    """The metric that field names speak of: the last but one part of a dotted name, or what stands before the last underscore."""
+    for name in fields:
+        if name and "." in name:
+            return name.split(".")[-2]
+        if name and "_" in name and name.rsplit("_", 1)[0]:
+            return name.rsplit("_", 1)[0]
+    return None
+
+
+def interval_fields(record: Column, fields: dict[str, str | None]) -> dict[str, Column]:
+    """Numbers of a record by part (``estimate, lower, upper, bootstrap_estimate, replicates, confidence``), each from the first that holds a value:
+
+    the field of that very name, the dotted path, the metric's object under ``metrics`` by the rest of the name, and there by the part's own name.
+    """
+    metric, out = metric_of(list(fields.values())), {}
+    for part, name in fields.items():
+        choices = []
+        if name:
+            choices.append(variant_text(record, _quoted([name])))
+            if "." in name:
+                choices.append(variant_text(record, _quoted(name.split("."))))
+            if metric:
+                choices.append(variant_text(record, _quoted(["metrics", metric, name.removeprefix(f"{metric}_")])))
+        if metric:
+            choices.append(variant_text(record, _quoted(["metrics", metric, part])))
+        value = number(F.coalesce(*choices)) if choices else F.lit(None).cast("double")
+        out[part] = value.cast("long") if part == "replicates" else value
+    return out
+
+
+def read_interval_fields(spark: SparkSession, path: str, fields: dict[str, str | None], key: str = "node_id") -> DataFrame:
+    """``key`` and the chosen parts of every record of a CSV, JSON or JSON-lines file; of a repeated key the last record counts.
+
+    Records without key are left out.
+    """
+    if path.endswith(".csv"):
+        rows = spark.read.option("header", True).csv(path)
+        rows = rows.select(F.monotonically_increasing_id().alias("place"), F.to_variant_object(F.struct(*[F.col(f"`{c}`") for c in rows.columns])).alias("record"))
+    else:
+        rows = records(spark, path)
+    named = rows.select("place", variant_text(F.col("record"), _quoted([key])).alias(key), *[c.alias(n) for n, c in interval_fields(F.col("record"), fields).items()])
+    parts = F.struct(*fields)
+    return named.where(F.col(key).isNotNull()).groupBy(key).agg(F.max_by(parts, "place").alias("p")).select(key, "p.*")

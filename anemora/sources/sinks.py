@@ -71,6 +71,13 @@ def write_geojson(df: DataFrame, path: str, *, identifier: str = "node_id", lon:
         (r["f"] for r in rows.toLocalIterator()), '{"type": "FeatureCollection", "features": [', "]}"))
 
 
+def write_geojson_sequence(df: DataFrame, path: str, *, identifier: str = "node_id", lon: str = "lon", lat: str = "lat",
+                           properties: Sequence[str] | None = None) -> None:
+    """One feature a line, written by the tasks and committed by Spark, for tables of any size; a failed task leaves nothing."""
+    names = list(properties or [c for c in df.columns if c not in (identifier, lon, lat)])
+    df.select(feature(F.col(identifier), F.col(lon), F.col(lat), names).alias("value")).write.mode("overwrite").text(path)
+
+
 def write_geoparquet(df: DataFrame, path: str, *, geometry: str = "geometry", crs: str = "EPSG:4326",
                      geometry_types: Sequence[str] = ("Point",)) -> None:
     """Parquet part files whose footers carry the ``geo`` entry Spark's writer cannot set.
