@@ -18,11 +18,22 @@ PER_DIGEST = 4
 BOUNDS = tuple(int(sum(exp(-1) / factorial(j) for j in range(k + 1)) * 2**32) for k in range(13))
 
 
-def poisson_counts(seed: str, record: Column, block: Column) -> list[Column]:
-    """How often a record counts in the ``PER_DIGEST`` replicates of a block: independent, Poisson with mean one."""
-    digest = F.md5(F.concat_ws("|", F.lit(seed), record.cast("string"), block.cast("string")).cast("binary"))
-    drawn = [F.conv(F.substring(digest, 1 + 8 * i, 8), 16, 10).cast("long") for i in range(PER_DIGEST)]
-    return [sum((u >= F.lit(b).cast("long")).cast("int") for b in BOUNDS) for u in drawn]
+def digest(seed: str, record: Column, block: Column) -> Column:
+    """What the draws of a record in a block of replicates are cut from."""
+    return F.md5(F.concat_ws("|", F.lit(seed), record.cast("string"), block.cast("string")).cast("binary"))
+
+
+def poisson_counts(drawn: Column) -> list[Column]:
+    """How often a record counts in the ``PER_DIGEST`` replicates of a digest: independent, Poisson with mean one."""
+    out = []
+    for i in range(PER_DIGEST):
+        u = F.conv(F.substring(drawn, 1 + 8 * i, 8), 16, 10).cast("long")
+        # Small counts are likely, so the first bounds decide most draws.
+        count = F.when(u < F.lit(BOUNDS[0]).cast("long"), 0)
+        for k, bound in enumerate(BOUNDS[1:], 1):
+            count = count.when(u < F.lit(bound).cast("long"), k)
+        out.append(count.otherwise(len(BOUNDS)))
+    return out
 
 
 def poisson_replicates(rows: DataFrame, keys: Sequence[str], record: str, value: str, weight: str, replicates: int = 200, seed: str = "poisson") -> DataFrame:
@@ -33,7 +44,9 @@ def poisson_replicates(rows: DataFrame, keys: Sequence[str], record: str, value:
     """
     blocks = -(-replicates // PER_DIGEST)
     dealt = rows.select(*keys, F.col(record).alias("__record"), F.col(value).alias("__x"), F.col(weight).alias("__w"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("__block"))
-    drawn = dealt.select(*keys, "__block", "__x", "__w", F.explode(F.array(F.array(*poisson_counts(seed, F.col("__record"), F.col("__block"))))).alias("__k"))
+    # Generators keep the digest and the counts from being evaluated once per use.
+    drawn = dealt.select(*keys, "__block", "__x", "__w", F.explode(F.array(digest(seed, F.col("__record"), F.col("__block")))).alias("__digest"))
+    drawn = drawn.select(*keys, "__block", "__x", "__w", F.explode(F.array(F.array(*poisson_counts(F.col("__digest"))))).alias("__k"))
     sums = [F.struct(F.sum(F.col("__k")[i] * F.col("__w") * F.col("__x")).alias("s"), F.sum(F.col("__k")[i] * F.col("__w")).alias("w")) for i in range(PER_DIGEST)]
     each = drawn.groupBy(*keys, "__block").agg(F.array(*sums).alias("__sums"))
     out = each.select(*keys, "__block", F.posexplode("__sums").alias("__i", "__sum"))
