@@ -35,6 +35,7 @@ from anemora.operators.lookup import with_default
 from anemora.operators.ordered import order_rows
 from anemora.operators.power import weibull_third_moment
 from anemora.operators.weibull import fit_arrays, fit_weibull
+from anemora.session import checkpoint_ready
 
 METRICS = ("mean_speed", "p50", "p90", "p99", "power_density")
 STRATA = ("below", "in", "above", "uncertain")
@@ -282,8 +283,12 @@ def _one_part(rows: DataFrame, config: BootstrapConfig) -> DataFrame:
     return spread(rows.withColumn("after", F.lit(False)), "node_id").groupBy("node_id").applyInPandas(run, _ROW)
 
 
-def _many_parts(rows: DataFrame, config: BootstrapConfig, max_records: int) -> DataFrame:
-    """Nodes of several parts.  Two passes draw the same records: sums and histograms, then the values around the quantiles."""
+def _dealt(rows: DataFrame, config: BootstrapConfig, max_records: int) -> tuple[DataFrame, DataFrame]:
+    """Records with their part, and one row per part with what its draws need: the sizes of all parts, and the edges of the node's histogram.
+
+    The facts meet their part as the other side of a cogroup, so a record carries numbers only.
+    """
+    checkpoint_ready(rows.sparkSession)
     reach = RUN_ROOM if config.resampling == "stationary" else 1
     numbered = order_rows(rows, ["node_id"], ["us", "tie"]).running_sum(__n=F.lit(1)).dataframe()
     numbered = numbered.withColumns({"part": F.expr(f"cast((__n - 1) div {max_records} as int)"), "__off": (F.col("__n") - 1) % max_records})
@@ -292,22 +297,29 @@ def _many_parts(rows: DataFrame, config: BootstrapConfig, max_records: int) -> D
         F.sort_array(F.collect_list(F.struct("part", *[f"n_{s}" for s in STRATA]))).alias("cells"))
     steps = F.array(*[F.lit(i / BINS) for i in range(1, BINS)])
     edges = rows.groupBy("node_id").agg(F.array_distinct(F.percentile_approx("raw", steps, 20_000)).alias("edges"))
-    known = cells.join(edges, "node_id")
+    known = cells.join(edges, "node_id").checkpoint()
+    facts = known.select(F.col("node_id").alias("of_node"), F.explode("cells.part").alias("of_part"), "cells", "edges")
     room = F.when(F.col("block_length") > 1, F.col("block_length") * reach).otherwise(0) if config.resampling != "iid" else F.lit(0)
-    both = numbered.join(known, "node_id")
-    before = F.pmod(F.col("part") - 1, F.size("cells"))
+    both = numbered.join(known.select("node_id", F.size("cells").alias("__parts")), "node_id")
+    before = F.pmod(F.col("part") - 1, F.col("__parts"))
     places = F.array(F.struct(F.col("part").alias("part"), F.lit(False).alias("after")), F.struct(before.cast("int").alias("part"), F.lit(True).alias("after")))
     chosen = F.when(F.col("__off") < room, places).otherwise(F.slice(places, 1, 1))
-    dealt = both.withColumn("__p", F.explode(chosen)).withColumns({"part": F.col("__p.part"), "after": F.col("__p.after")}).drop("__p", "__n", "__off")
-    dealt = dealt.repartition("node_id", "part")
+    dealt = both.withColumn("__p", F.explode(chosen)).withColumns({"part": F.col("__p.part"), "after": F.col("__p.after")}).drop("__p", "__n", "__off", "__parts")
+    return dealt.repartition("node_id", "part"), facts
+
+
+def _many_parts(rows: DataFrame, config: BootstrapConfig, max_records: int) -> DataFrame:
+    """Nodes of several parts.  Two passes draw the same records: sums and histograms, then the values around the quantiles."""
+    dealt, facts = _dealt(rows, config, max_records)
 
-    def start(group: pd.DataFrame):
+    def start(group: pd.DataFrame, fact: pd.DataFrame):
         records = _Records(group, config)
-        cells = np.array([list(c)[1:] if not isinstance(c, dict) else [c[f"n_{s}"] for s in STRATA] for c in group["cells"].iloc[0]], dtype=np.int64)
-        return records, records.draws(cells, int(group["part"].iloc[0])), np.array(group["edges"].iloc[0], dtype=float)
+        fact = fact.iloc[0]
+        cells = np.array([list(c)[1:] if not isinstance(c, dict) else [c[f"n_{s}"] for s in STRATA] for c in fact["cells"]], dtype=np.int64)
+        return records, records.draws(cells, int(fact["of_part"])), np.array(fact["edges"], dtype=float)
 
-    def first(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        records, draws, edges = start(group)
+    def first(key: tuple, group: pd.DataFrame, fact: pd.DataFrame) -> pd.DataFrame:
+        records, draws, edges = start(group, fact)
         out = []
         for replica in range(BASELINE, config.replicas):
             sample = records.sample(draws, replica)
@@ -320,7 +332,7 @@ def _many_parts(rows: DataFrame, config: BootstrapConfig, max_records: int) -> D
         return pd.DataFrame(out, columns=["node_id", "replica", *_SUMS, "scale", "mass", "top"])
 
     head = "node_id string, replica int, "
-    partial = dealt.groupBy("node_id", "part").applyInPandas(
+    partial = dealt.groupBy("node_id", "part").cogroup(facts.groupBy("of_node", "of_part")).applyInPandas(
         first, head + ", ".join(f"{s} double" for s in _SUMS) + ", scale double, mass array<double>, top array<double>")
     key = ["node_id", "replica"]
     sums = partial.groupBy(*key).agg(*[F.sum(s).alias(s) for s in _SUMS], F.max("scale").alias("scale"))
@@ -339,8 +351,9 @@ def _many_parts(rows: DataFrame, config: BootstrapConfig, max_records: int) -> D
     def second(key: tuple, group: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(group):
-            records, draws, edges = start(group)
-            for row in wanted.itertuples(index=False):
+            fact = wanted["edges"].notna()
+            records, draws, edges = start(group, wanted[fact])
+            for row in wanted[~fact].itertuples(index=False):
                 v, w, *_ = records.sample(draws, int(row.replica))
                 v, w = (v * records.scale)[w > 0], w[w > 0]
                 bins = np.searchsorted(edges * records.scale, v, side="right")
@@ -349,8 +362,9 @@ def _many_parts(rows: DataFrame, config: BootstrapConfig, max_records: int) -> D
                 out.append(pd.DataFrame({"node_id": row.node_id, "replica": row.replica, "v": pair[0], "w": pair[1], "bin": pair[2].astype(int), "n": count}))
         return pd.concat(out) if out else pd.DataFrame(columns=["node_id", "replica", "v", "w", "bin", "n"])
 
-    parts = dealt.where(~F.col("after")).select("node_id", F.col("part").alias("of_part")).distinct()
-    wanted = asked.select(*key, "whole", *[F.col(f"{n}.bin").alias(f"b{n[1:]}") for n in QUANTILES]).join(parts, "node_id")
+    wanted = asked.select(*key, "whole", *[F.col(f"{n}.bin").alias(f"b{n[1:]}") for n in QUANTILES]).join(
+        facts.select(F.col("of_node").alias("node_id"), "of_part"), "node_id")
+    wanted = wanted.unionByName(facts.withColumnRenamed("of_node", "node_id"), allowMissingColumns=True)
     values = dealt.groupBy("node_id", "part").cogroup(wanted.groupBy("node_id", "of_part")).applyInPandas(
         second, head + "v double, w double, bin int, n long").groupBy(*key, "v", "w", "bin").agg(F.sum("n").alias("n"))
 

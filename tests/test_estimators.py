@@ -254,6 +254,14 @@ def test_bootstrap_without_replicas_on_large_nodes(spark):
         assert all(r[m] == pytest.approx(one[r["node_id"]][m], rel=1e-9) for m in bootstrap.METRICS)
 
 
+def test_records_of_large_nodes_carry_numbers_only(spark):
+    """What a part's draws need goes to the part once, not with each of its records."""
+    rows = bootstrap._prepared(observations(spark), BootstrapConfig(replicas=2), "seq").drop("v")
+    dealt, facts = bootstrap._dealt(rows, BootstrapConfig(replicas=2), 10)
+    assert not any(kind.startswith(("array", "struct", "map")) for _, kind in dealt.dtypes)
+    assert facts.count() == dealt.select("node_id", "part").distinct().count() and {"cells", "edges"} <= set(facts.columns)
+
+
 def test_bootstrap_is_independent_of_partitioning(spark):
     config = BootstrapConfig(replicas=20, seed=9)
     obs = observations(spark, size=120).withColumn("timestamp", F.date_trunc("day", "timestamp"))
