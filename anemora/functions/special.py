@@ -1,4 +1,4 @@
-"""Special functions Spark SQL lacks, as Arrow-batched scalar UDFs on top of numpy."""
+"""Special functions Spark SQL lacks: the log-gamma function as an expression, the others as Arrow-batched scalar UDFs on top of numpy."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ import math
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,6 +30,18 @@ def log_gamma(x: np.ndarray) -> np.ndarray:
     return np.where(small, out - np.log(np.where(small, x, 1.0)), out)
 
 
+def log_gamma_of(x: Column) -> Column:
+    """``log_gamma`` as an expression, so that it stays in the generated code."""
+    small = x < 0.5
+    z = F.when(small, x).otherwise(x - 1.0)
+    series = F.lit(_LANCZOS[0])
+    for i, c in enumerate(_LANCZOS[1:], start=1):
+        series = series + F.lit(c) / (z + float(i))
+    t = z + 7.5
+    out = F.lit(0.5 * math.log(2 * math.pi)) + (z + 0.5) * F.ln(t) - t + F.ln(series)
+    return F.when(small, out - F.ln(x)).otherwise(out)
+
+
 def gamma_p(a: np.ndarray, x: np.ndarray) -> np.ndarray:
     """Regularised lower incomplete gamma: power series below a + 1, continued fraction above."""
     a, x = np.broadcast_arrays(np.asarray(a, dtype=float), np.asarray(x, dtype=float))

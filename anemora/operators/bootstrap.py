@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from anemora.config import BootstrapConfig
 from anemora.functions.labels import hard_label, posterior, stratum, with_posteriors
 from anemora.functions.scalars import is_finite, micros, numeric
-from anemora.functions.special import log_gamma_udf
+from anemora.functions.special import log_gamma_of
 from anemora.operators.grouped import hot_keys, spread
 from anemora.operators.lookup import with_default
 from anemora.operators.ordered import order_rows
@@ -399,7 +399,7 @@ def _many_parts(rows: DataFrame, config: BootstrapConfig, max_records: int) -> D
         *key, "weibull_shape", "weibull_scale", (F.col("weibull_success") & F.col("weibull_reliable")).alias("sound"))
     out = out.join(fits, key, "left")
     weibull = F.col("whole") & F.coalesce("sound", F.lit(False)) & (F.col("wi") >= config.min_in_range_weight)
-    density = 0.5 * config.air_density * F.pow(F.col("weibull_scale") * F.col("scale"), F.lit(3)) * F.exp(log_gamma_udf(1.0 + 3.0 / F.col("weibull_shape")))
+    density = 0.5 * config.air_density * F.pow(F.col("weibull_scale") * F.col("scale"), F.lit(3)) * F.exp(log_gamma_of(1.0 + 3.0 / F.col("weibull_shape")))
     total = F.col("wi") + F.col("wl") + F.col("wr")
     lower, upper = config.thresholds.lower, config.thresholds.upper
     tail = config.tail_surrogate if config.tail_surrogate is not None else upper

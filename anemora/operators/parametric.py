@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from anemora.config import ParametricConfig
-from anemora.functions.special import gamma_cdf_udf, log_gamma_udf, normal_cdf_udf
+from anemora.functions.special import gamma_cdf_udf, log_gamma_of, normal_cdf_udf
 from anemora.operators.ordered import MAX_ROWS_PER_RANGE, order_rows
 
 _EPS = 1e-15
@@ -73,7 +73,7 @@ def log_likelihoods(sample: DataFrame, parameters: DataFrame, keys: Sequence[str
     w, mean_log, var_log = F.col("in_weight"), F.col("mean_log"), F.col("var_log")
     sigma, shape, scale = F.col("lognormal_sigma"), F.col("gamma_shape"), F.col("gamma_scale")
     lognormal = w * (-mean_log - F.ln(sigma) - 0.5 * math.log(2 * math.pi) - 0.5 * var_log / (sigma * sigma))
-    gamma = w * ((shape - 1.0) * mean_log - F.col("mean_value") / scale - shape * F.ln(scale) - log_gamma_udf(shape))
+    gamma = w * ((shape - 1.0) * mean_log - F.col("mean_value") / scale - shape * F.ln(scale) - log_gamma_of(shape))
     zero = F.lit(0.0)
     return parameters.join(censored, keys, "left").withColumns({
         "lognormal_log_likelihood": lognormal + F.coalesce("__limits_lognormal", zero),
