@@ -31,6 +31,7 @@ def test_rows(spark, name):
     if name.startswith("op7_"):
         assert got.count() == 5 * rows.where("vec_id % 50 = 0").count()
     elif name.startswith("op11_"):
-        assert got.groupBy("item_id").agg({"rank": "max"}).where("`max(rank)` = 50").count() == 40
+        per_item = got.groupBy("item_id").agg({"rank": "max", "*": "count"}).collect()
+        assert per_item and all(r["max(rank)"] == r["count(1)"] <= 50 for r in per_item)
     else:
         assert got.count() == rows.count()
