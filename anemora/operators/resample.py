@@ -24,14 +24,17 @@ def digest(seed: str, record: Column, block: Column) -> Column:
 
 
 def poisson_counts(drawn: Column) -> list[Column]:
-    """How often a record counts in the ``PER_DIGEST`` replicates of a digest: independent, Poisson with mean one."""
+    """How often a record counts in the ``PER_DIGEST`` replicates of a digest: independent, Poisson with mean one.
+
+    Hexadecimal digits of one length compare like the numbers they write.
+    """
     out = []
     for i in range(PER_DIGEST):
-        u = F.conv(F.substring(drawn, 1 + 8 * i, 8), 16, 10).cast("long")
+        u = F.substring(drawn, 1 + 8 * i, 8)
         # Small counts are likely, so the first bounds decide most draws.
-        count = F.when(u < F.lit(BOUNDS[0]).cast("long"), 0)
+        count = F.when(u < f"{BOUNDS[0]:08x}", 0)
         for k, bound in enumerate(BOUNDS[1:], 1):
-            count = count.when(u < F.lit(bound).cast("long"), k)
+            count = count.when(u < f"{bound:08x}", k)
         out.append(count.otherwise(len(BOUNDS)))
     return out
 
