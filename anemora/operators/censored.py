@@ -61,8 +61,11 @@ def censored_sample(obs: DataFrame, bounds: RangeThresholds = RangeThresholds(),
 
 
 def censored_by_speed(series: DataFrame, speed: str, bounds: RangeThresholds | None, keys: Sequence[str] = (),
-                      ) -> DataFrame:
-    """Sample of a series without posteriors: strictly outside the bounds is censored at them."""
+                      weight: str | None = None) -> DataFrame:
+    """Sample of a series without posteriors: strictly outside the bounds is censored at them.
+
+    ``weight`` says how often a row counts, once without it.
+    """
     v = F.col(speed)
     rows = series.where(is_finite(v) & (v > 0))
     if bounds is None:
@@ -71,7 +74,7 @@ def censored_by_speed(series: DataFrame, speed: str, bounds: RangeThresholds | N
         kind = F.when(v < bounds.lower, "left").when(v > bounds.upper, "right").otherwise("in")
         value = F.greatest(F.lit(bounds.lower), F.least(F.lit(bounds.upper), v))
     return rows.groupBy(*keys, kind.alias("kind"), value.alias("value")).agg(
-        F.count(F.lit(1)).cast("double").alias("weight"))
+        (F.count(F.lit(1)).cast("double") if weight is None else F.sum(weight)).alias("weight"))
 
 
 def sample_totals(sample: DataFrame, keys: Sequence[str] = ("node_id",)) -> DataFrame:

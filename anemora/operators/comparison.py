@@ -19,6 +19,7 @@ from anemora.operators.kaplan_meier import kaplan_meier, km_summary
 from anemora.operators.ordered import MAX_ROWS_PER_RANGE
 from anemora.operators.power import power_estimates, weibull_mean, weibull_quantile
 from anemora.operators.quantiles import linear_quantiles, weighted_step_quantiles
+from anemora.session import held
 
 KEYS = ["dataset", "scope"]
 _P = {"p50": 0.5, "p90": 0.9, "p99": 0.99}
@@ -44,7 +45,7 @@ def model_rows(scopes: DataFrame, *, bounds: RangeThresholds = RangeThresholds()
                height: Height = Height(), min_in_weight: float = 500.0, criteria: KaplanMeierCriteria = KaplanMeierCriteria(),
                curve: PowerCurve = PowerCurve(), air_density: float = 1.225, max_rows: int | None = MAX_ROWS_PER_RANGE) -> DataFrame:
     """Weighted in-range statistics and model power of the observation scopes."""
-    sample = censored_sample(scopes, bounds, min_confidence, KEYS)
+    sample = held(censored_sample(scopes, bounds, min_confidence, KEYS))
     summary = selection_summary(scopes, min_confidence, KEYS)
     inside = sample.where(F.col("kind") == "in").select(
         *KEYS, (F.col("value") * height.scale).alias("__value"), F.col("weight").alias("__weight"))
@@ -67,10 +68,11 @@ def reference_rows(scopes: DataFrame, *, bounds: RangeThresholds = RangeThreshol
     scaled = scopes.withColumn("scaled", F.col("speed") * height.scale)
     stats = scaled.groupBy(*KEYS).agg(F.avg("scaled").alias("mean_speed")).join(
         linear_quantiles(scaled, KEYS, "scaled", _P, max_rows=max_rows), KEYS)
-    everything = stats.where(F.col("scope") == "global").withColumn("scope", F.lit("global_censored"))
-    stats = stats.unionByName(everything)
-    sample = censored_by_speed(scopes, "speed", None, KEYS).unionByName(
-        censored_by_speed(scopes.where(F.col("scope") == "global").withColumn("scope", F.lit("global_censored")), "speed", bounds, KEYS))
+    stats = stats.unionByName(stats.where(F.col("scope") == "global").withColumn("scope", F.lit("global_censored")))
+    # Both samples come from the distinct speeds, which are written down once.
+    free = held(censored_by_speed(scopes, "speed", None, KEYS))
+    everything = free.where(F.col("scope") == "global").drop("kind").withColumn("scope", F.lit("global_censored"))
+    sample = free.unionByName(censored_by_speed(everything, "value", bounds, KEYS, "weight"))
     totals = sample_totals(sample, KEYS)
     total = F.col("total_weight")
     summary = totals.select(
@@ -95,14 +97,14 @@ def reference_rows(scopes: DataFrame, *, bounds: RangeThresholds = RangeThreshol
 
 def with_intervals(rows: DataFrame, observations: DataFrame, references: DataFrame, config: BootstrapConfig) -> DataFrame:
     """Add bootstrap bounds.  The reference resamples its speeds without class noise or bounds."""
-    def keyed(df, prepared):
-        return prepared.withColumn("node_id", F.concat_ws("/", "dataset", "scope"))
+    def keyed(df):
+        return df.withColumn("node_id", F.concat_ws("/", "dataset", "scope"))
 
     free = replace(config, apply_rmse_noise=False, rmse_mode="none", thresholds=RangeThresholds(1e-9, 1e9))
     plain = references.select(
         *KEYS, "timestamp", F.col("speed").alias("pred_wind_speed"), F.lit(0.0).alias("prob_range_below"), F.lit(1.0).alias("prob_range_in"),
         F.lit(0.0).alias("prob_range_above"), F.lit("in").alias("range_flag"), F.lit(True).alias("range_flag_confident"))
-    bounds = bootstrap_intervals(keyed(None, observations), config).unionByName(bootstrap_intervals(keyed(None, plain), free))
+    bounds = bootstrap_intervals(keyed(observations), config).unionByName(bootstrap_intervals(keyed(plain), free))
     wide = bounds.groupBy("node_id").agg(*[
         F.max(F.when(F.col("metric") == source, F.col(part))).alias(f"{name}_{part}")
         for name, source in (("mean_speed", "mean_speed"), ("p50", "p50"), ("p90", "p90"), ("p99", "p99"), ("power_density_model", "power_density"))

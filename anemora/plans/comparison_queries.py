@@ -10,6 +10,7 @@ from anemora.operators import asof, comparison, timeseries
 from anemora.plans import stages
 from anemora.plans.registry import query
 from anemora.plans.tables import OBS, OBS_LONG, REF, obs, obs_long, ref
+from anemora.session import held
 from anemora.sources.readers import clean_reference, uncensored_records
 
 _MONTHS = """
@@ -110,7 +111,8 @@ def forecast_months(spark, sf_dir):
 def _matched(spark, sf_dir):
     reference = clean_reference(ref(spark, sf_dir)).select("event_id", "timestamp", "wind_speed", "wind_dir")
     node = obs(spark, sf_dir)
-    return node, reference, asof.synchronise(node, reference, right_sequence="event_id")
+    # Every statistic of the paired scope reads the matched rows, so they are aligned once.
+    return node, reference, held(asof.synchronise(node, reference, right_sequence="event_id"))
 
 
 @query("comparison_rows")

@@ -19,6 +19,7 @@ from anemora.config import (
 from anemora.operators import (
     asof, bootstrap, cadence, censored, comparison, dependence, direction, empirical, kaplan_meier, nodes, power, ranges, seasonal,
 )
+from anemora.session import held
 from anemora.sources.readers import uncensored_records
 
 STAGES = ("taxonomy", "empirical", "quality", "nonparametric", "power", "node_summary", "dependence", "bootstrap", "wind_rose", "seasonal", "monthly_power", "seasonal_power")
@@ -63,7 +64,10 @@ def compute_resource(obs: DataFrame, options: ResourceOptions = ResourceOptions(
 
 
 class _Resource:
-    """The resource stages; each is made on first use and shared by those that need it."""
+    """The resource stages; each is made on first use and shared by those that need it.
+
+    The sample and the table of nodes, which several stages read, are written down.
+    """
 
     def __init__(self, obs: DataFrame, options: ResourceOptions, settings: DataFrame | None) -> None:
         self.obs, self.options, self.settings = obs, options, settings
@@ -74,8 +78,8 @@ class _Resource:
 
     @cached_property
     def empirical(self) -> DataFrame:
-        return empirical.assemble_metrics(
-            empirical.label_counts(self.obs), empirical.valid_metrics(self.obs), self.taxonomy, self.options.bias)
+        return held(empirical.assemble_metrics(
+            empirical.label_counts(self.obs), empirical.valid_metrics(self.obs), self.taxonomy, self.options.bias))
 
     @cached_property
     def quality(self) -> DataFrame:
@@ -84,7 +88,7 @@ class _Resource:
 
     @cached_property
     def sample(self) -> DataFrame:
-        return censored.censored_sample(self.obs, self.options.bounds, self.options.min_confidence)
+        return held(censored.censored_sample(self.obs, self.options.bounds, self.options.min_confidence))
 
     @cached_property
     def totals(self) -> DataFrame:

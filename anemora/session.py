@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app_name: str = "anemora", master: str | None = None, **conf: str) -> SparkSession:
@@ -43,3 +43,9 @@ def checkpoint_ready(spark: SparkSession) -> None:
     if not context.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     context.setCheckpointDir(os.path.join(tempfile.mkdtemp(prefix="anemora-"), "checkpoints"))
+
+
+def held(df: DataFrame) -> DataFrame:
+    """The frame as a checkpoint, for a reduced table that several aggregates read."""
+    checkpoint_ready(df.sparkSession)
+    return df.checkpoint()
