@@ -31,11 +31,12 @@ from anemora.functions.labels import hard_label, posterior, stratum, with_poster
 from anemora.functions.scalars import is_finite, micros, numeric
 from anemora.functions.special import log_gamma_of
 from anemora.operators.grouped import hot_keys, spread
+from anemora.operators.influence import delete_one_density
 from anemora.operators.lookup import with_default
 from anemora.operators.ordered import order_rows
 from anemora.operators.power import weibull_third_moment
 from anemora.operators.weibull import fit_arrays, fit_weibull
-from anemora.session import checkpoint_ready
+from anemora.session import checkpoint_ready, held
 
 METRICS = ("mean_speed", "p50", "p90", "p99", "power_density")
 STRATA = ("below", "in", "above", "uncertain")
@@ -442,11 +443,12 @@ def _finish(rows: DataFrame, config: BootstrapConfig) -> DataFrame:
 
 # -- delete-one values -------------------------------------------------------------
 def jackknife(obs: DataFrame, config: BootstrapConfig, tie: str | None = None, settings: DataFrame | None = None) -> DataFrame:
-    """``(node_id, metric, n, d1, d2, d3)``: power sums of the delete-one values' distances from the full value, for any number of records.
+    """``(node_id, metric, n, d1, d2, d3, estimator)``: power sums of the delete-one values' distances from the full value, for any number of records.
 
     Mean and density follow from the totals minus one record.  A delete-one quantile is a look-up among the records
     whose cumulative weight is within two records of the quantile; no weight exceeds one, so that
-    list is short whatever the node's size.  Densities count as Kaplan-Meier.
+    list is short whatever the node's size.  Where the records let the Weibull fit decide, the density's values are
+    those of the fit without a record (``influence.py``); ``estimator`` says which a density has.
     """
     rows = _prepared(obs, config, tie, settings)
     v, w = F.coalesce(F.col("v"), F.lit(0.0)) * F.col("speed_scale"), F.col("w_in")
@@ -489,7 +491,38 @@ def jackknife(obs: DataFrame, config: BootstrapConfig, tie: str | None = None, s
 
     made = every.groupBy("node_id", "part").cogroup(per_part.groupBy("node_id", "of_part")).applyInPandas(
         values, "node_id string, metric string, n long, d1 double, d2 double, d3 double")
-    return made.groupBy("node_id", "metric").agg(*[F.sum(c).alias(c) for c in ("n", "d1", "d2", "d3")])
+    density = F.col("metric") == "power_density"
+    out = made.groupBy("node_id", "metric").agg(*[F.sum(c).alias(c) for c in ("n", "d1", "d2", "d3")]).withColumn(
+        "estimator", F.when(density, "kaplan_meier"))
+    fitted = weibull_jackknife(obs, config, tie, settings)
+    if fitted is None:
+        return out
+    fitted = fitted.withColumns({"metric": F.lit("power_density"), "estimator": F.lit("weibull")})
+    return out.join(fitted.select("node_id", "metric"), ["node_id", "metric"], "left_anti").unionByName(fitted)
+
+
+def weibull_jackknife(obs: DataFrame, config: BootstrapConfig, tie: str | None = None, settings: DataFrame | None = None,
+                      reliable: bool = True) -> DataFrame | None:
+    """Power sums of delete-one densities of the nodes estimated by Weibull; None where the settings admit no such node.
+
+    ``reliable=False`` also takes nodes whose fit reached its last iteration, which the estimates leave to Kaplan-Meier.
+    """
+    c = config.criteria
+    if (0.0 <= c.max_valid_share or 0.0 <= c.min_uncensored_weight) and config.min_in_range_weight >= c.min_total_observations:
+        return None
+    prepared = _prepared(obs, config, tie, settings)
+    lower, upper = config.thresholds.lower, config.thresholds.upper
+    merged = held(prepared.groupBy("node_id", "v").agg(*[F.sum(x).alias(x) for x in ("w_in", "w_left", "w_right", "used")]))
+    totals = merged.groupBy("node_id").agg(*[F.sum(x).alias(x) for x in ("w_in", "w_left", "w_right", "used")])
+    admitted = totals.where(~_forced(config, F.col("used"), F.col("w_left"), F.col("w_right")) & (F.col("w_in") >= config.min_in_range_weight))
+    sides = admitted.select("node_id", F.explode(F.array(
+        F.struct(F.lit("left").alias("kind"), F.lit(lower).alias("value"), F.col("w_left").alias("weight")),
+        F.struct(F.lit("right").alias("kind"), F.lit(upper).alias("value"), F.col("w_right").alias("weight")))).alias("p")).select("node_id", "p.*")
+    inside = merged.join(admitted.select("node_id"), "node_id").select("node_id", F.lit("in").alias("kind"), F.col("v").alias("value"), F.col("w_in").alias("weight"))
+    sample = held(inside.unionByName(sides).where(F.col("value").isNotNull() & (F.col("weight") > 0)))
+    fits = fit_weibull(sample, ["node_id"], config.min_in_range_weight).where(
+        F.col("weibull_shape").isNotNull() & ((F.col("weibull_success") & F.col("weibull_reliable")) | F.lit(not reliable)))
+    return delete_one_density(prepared, sample, held(fits.select("node_id", "weibull_shape", "weibull_scale")), lower, upper, config.air_density)
 
 
 def _ratio(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -537,8 +570,8 @@ def intervals_of(replicates: DataFrame, config: BootstrapConfig, delete_one: Dat
     """Intervals from the table of replicates, one aggregate per node and metric; a list holds one value per replicate.
 
     With perturbed speeds the replicates are moved so that their mean is the estimate.  BCa and percentile-t take the power
-    sums of ``jackknife``.  A metric without them, and the density of a node estimated by Weibull, for which
-    there are no delete-one fits, have percentile bounds and say so in ``ci_method``.
+    sums of ``jackknife``.  A metric without them, and a density whose sums are not of the estimator that made the
+    estimate, have percentile bounds and say so in ``ci_method``.
     """
     entry = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in METRICS]))
     drawn = F.col("replica") >= 0
@@ -559,7 +592,7 @@ def intervals_of(replicates: DataFrame, config: BootstrapConfig, delete_one: Dat
     if delete_one is not None:
         rows = rows.join(delete_one, ["node_id", "metric"], "left")
         refined = refined_levels(config.ci_method, alpha)("estimate", "draws", "n", "d1", "d2", "d3")
-        usable = F.col("n").isNotNull() & (F.col("n") > 1) & ~F.isnan("d2") & ~((F.col("metric") == "power_density") & (F.col("power_method") == "weibull"))
+        usable = F.col("n").isNotNull() & (F.col("n") > 1) & ~F.isnan("d2") & (F.col("estimator").isNull() | (F.col("estimator") == F.col("power_method")))
         rows = rows.withColumn("__ends", F.when(usable, refined)).withColumn("__sound", F.col("__ends.first").isNotNull())
         method = F.when(F.col("__sound"), config.ci_method).otherwise("percentile")
     known = F.col("estimate").isNotNull() & (size > 0)

@@ -422,6 +422,64 @@ def bootstrap_baseline(spark, sf_dir):
     return table.where(F.col("replica") == bootstrap.BASELINE).select("node_id", *bootstrap.METRICS)
 
 
+def _derivatives_sql(kind: str) -> dict[str, str]:
+    """Derivatives in log shape and log scale of one observation at ``x``: ``e = k ln(x / scale)``, ``u = exp(e)``, ``g`` and its logarithmic derivatives ``g1, g2``."""
+    if kind == "left":
+        return {"ga": "g*e", "gb": "-g*k", "haa": "g*e + e*e*g1", "hab": "-k*(g + e*g1)", "hbb": "k*k*g1",
+                "aaa": "g*e + 3*e*e*g1 + e*e*e*g2", "aab": "-k*(g + 3*e*g1 + e*e*g2)", "abb": "k*k*(2*g1 + e*g2)", "bbb": "-k*k*k*g2"}
+    seen = 1 if kind == "in" else 0
+    return {"ga": f"{seen}*(1 + e) - u*e", "gb": f"k*(u - {seen})", "haa": f"{seen}*e - u*e*(1 + e)", "hab": f"k*(u + u*e - {seen})", "hbb": "-k*k*u",
+            "aaa": f"{seen}*e - u*e*(1 + 3*e + e*e)", "aab": f"k*(u*(1 + 3*e + e*e) - {seen})", "abb": "-k*k*u*(2 + e)", "bbb": "k*k*k*u"}
+
+
+def _deleted_sql(rest: str, name: str) -> str:
+    """The logarithm of the density at the maximum next to (a, b), from sums named ``{rest}ga`` and so on and the node's third derivatives."""
+    h = {n: f"{rest}{n}" for n in ("ga", "gb", "haa", "hab", "hbb")}
+    det = f"({h['haa']}*{h['hbb']} - {h['hab']}*{h['hab']})"
+    solve = lambda p, q: (f"({h['hab']}*{q} - {h['hbb']}*{p})/{det}", f"({h['hab']}*{p} - {h['haa']}*{q})/{det}")
+    x, y = solve(h["ga"], h["gb"])
+    cx, cy = solve("ca", "cb")
+    return (f"(SELECT 3*(b + y + {cy}) + lgamma(1 + 3*exp(-(a + x + {cx}))) FROM (SELECT *, (aaa*x*x + 2*aab*x*y + abb*y*y)/2 AS ca, (aab*x*x + 2*abb*x*y + bbb*y*y)/2 AS cb "
+            f"FROM (SELECT {x} AS x, {y} AS y))) AS {name}")
+
+
+_SUMMED = ("ga", "gb", "haa", "hab", "hbb", "aaa", "aab", "abb", "bbb")
+_LEFT_OUT = f"""
+cs AS (
+  SELECT node_id, 'in' AS kind, v AS value, sum(s_in) AS weight FROM clamped WHERE v IS NOT NULL GROUP BY node_id, v HAVING sum(s_in) > 0
+  UNION ALL SELECT node_id, 'left', {LO}e0, sum(w_left) FROM clamped GROUP BY node_id HAVING sum(w_left) > 0
+  UNION ALL SELECT node_id, 'right', {UP}e0, sum(w_right) FROM clamped GROUP BY node_id HAVING sum(w_right) > 0
+),
+{_NEWTON.replace("sample", "cs")},
+pieces AS (
+  SELECT event_id, node_id, 'in' AS kind, v AS value, s_in AS w FROM clamped WHERE v IS NOT NULL
+  UNION ALL SELECT event_id, node_id, 'left', {LO}e0, w_left FROM clamped UNION ALL SELECT event_id, node_id, 'right', {UP}e0, w_right FROM clamped
+),
+curve AS (
+  SELECT *, g*(1 - u - g) AS g1, g*(1 - u - g)*(1 - u - g) - g*(u + g*(1 - u - g)) AS g2 FROM (
+    SELECT *, u/(exp(least(u, 600e0)) - 1) AS g FROM (SELECT *, exp(e) AS u FROM (
+      SELECT p.*, shape AS k, shape*ln(value/scale) AS e FROM pieces p JOIN fitted USING (node_id))))
+),
+own AS (SELECT event_id, node_id, {", ".join(f"sum(w * CASE kind WHEN 'in' THEN {_derivatives_sql('in')[n]} WHEN 'left' THEN {_derivatives_sql('left')[n]} ELSE {_derivatives_sql('right')[n]} END) AS own_{n}" for n in _SUMMED)}
+        FROM curve GROUP BY event_id, node_id),
+summed AS (SELECT *, {", ".join(f"sum(own_{n}) OVER w AS {n}" for n in _SUMMED)} FROM own WINDOW w AS (PARTITION BY node_id)),
+rest AS (SELECT s.*, ln(f.shape) AS a, ln(f.scale) AS b, {", ".join(f"{n} - own_{n} AS r_{n}" for n in _SUMMED[:5])} FROM summed s JOIN fitted f USING (node_id)),
+gone AS (SELECT node_id, 0.5*1.225*(exp(without) - exp(every)) AS d FROM (SELECT *, {_deleted_sql("r_", "without")}, {_deleted_sql("", "every")} FROM rest))"""
+
+
+@query("jackknife_weibull", f"""WITH RECURSIVE {OBS}, {_RECORDS}, {_BASE.split("weighted AS")[0].rstrip().rstrip(",")}, {_LEFT_OUT},
+  m AS (SELECT *, count(*) OVER p AS n, avg(d) OVER p AS mean FROM gone WINDOW p AS (PARTITION BY node_id)),
+  s AS (SELECT node_id, n, sum((d - mean)**2) AS m2, sum((d - mean)**3) AS m3 FROM m GROUP BY 1, 2)
+  SELECT node_id, n, sqrt((n - 1) / n * m2) AS standard_error, -m3 / (6 * m2 ** 1.5) AS acceleration FROM s""", "standard_error acceleration", digits=4)
+def jackknife_weibull(spark, sf_dir):
+    """Standard error and BCa acceleration of every node's fitted power density, from the fits without each record."""
+    config = BootstrapConfig(replicas=0, min_in_range_weight=1.0, criteria=_ADMIT)
+    found = bootstrap.weibull_jackknife(obs(spark, sf_dir), config, tie="event_id", reliable=False)
+    n, mean = F.col("n"), F.col("d1") / F.col("n")
+    m2, m3 = F.col("d2") - n * mean * mean, F.col("d3") - 3 * mean * F.col("d2") + 2 * n * mean * mean * mean
+    return found.select("node_id", "n", F.sqrt((n - 1) / n * m2).alias("standard_error"), (-m3 / (6 * F.pow(m2, F.lit(1.5)))).alias("acceleration"))
+
+
 @query("bootstrap_ci")
 def bootstrap_ci(spark, sf_dir):
     return bootstrap.bootstrap_intervals(obs(spark, sf_dir), BootstrapConfig(replicas=200, seed=7), tie="event_id")

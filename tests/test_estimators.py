@@ -322,6 +322,68 @@ def test_bootstrap_refined_intervals(spark, method):
         assert r["lower"] <= r["estimate"] * 1.1 and r["upper"] >= r["estimate"] * 0.9
 
 
+FITTED = dict(apply_rmse_noise=False, rmse_mode="none", min_in_range_weight=20.0, criteria=KaplanMeierCriteria(
+    min_total_censored_ratio=1.1, min_below_ratio=1.1, max_valid_share=-1.0, min_uncensored_weight=-1.0))
+
+
+def _best_fit(kind, value, weight):
+    """The maximum itself, by Newton steps on numerical derivatives of the library's gradient."""
+    sample, here = weibull.Sample(kind, value, weight), np.array([math.log(2.0), math.log(9.0)])
+    for _ in range(30):
+        slope = sample.likelihood([tuple(here)])[0, 1:]
+        h = 1e-5
+        bend = np.array([(sample.likelihood([tuple(here + e)])[0, 1:] - sample.likelihood([tuple(here - e)])[0, 1:]) / (2 * h) for e in np.eye(2) * h])
+        here = here - np.clip(np.linalg.solve(bend, slope), -0.5, 0.5)
+    return np.exp(here)
+
+
+def test_weibull_jackknife_against_refits(spark):
+    config = BootstrapConfig(replicas=0, speed_scale=1.3, **FITTED)
+    obs = observations(spark, ("n",), 150)
+    group = bootstrap._prepared(obs, config, "seq").toPandas().assign(after=False)
+    speed, w_in, w_left, w_right, *_ = bootstrap._Records(group, config).sample(None)
+
+    def density(keep):
+        inside = keep & (w_in > 0)
+        kind = np.array(["in"] * int(inside.sum()) + ["left", "right"])
+        value = np.concatenate([speed[inside], [config.thresholds.lower, config.thresholds.upper]])
+        shape, scale = _best_fit(kind, value, np.concatenate([w_in[inside], [w_left[keep].sum(), w_right[keep].sum()]]))
+        return 0.5 * config.air_density * power.weibull_third_moment(shape, scale * config.speed_scale)
+
+    every = np.ones(len(group), bool)
+    full = density(every)
+    d = np.array([density(np.arange(len(group)) != i) - full for i in range(len(group))])
+    got = [r for r in bootstrap.jackknife(obs, config, "seq").collect() if r["metric"] == "power_density"]
+    assert [(r["n"], r["estimator"]) for r in got] == [(150, "weibull")]
+    n, (s1, s2, s3) = 150, (got[0][c] for c in ("d1", "d2", "d3"))
+    m, true = s1 / n, d - d.mean()
+    error, third = s2 - n * m * m, s3 - 3 * m * s2 + 2 * n * m**3
+    assert error == pytest.approx((true**2).sum(), rel=3e-3)
+    assert third / error**1.5 == pytest.approx((true**3).sum() / (true**2).sum() ** 1.5, rel=1e-2)
+
+
+@pytest.mark.parametrize("method", ["bca", "percentile_t"])
+def test_refined_intervals_of_fitted_densities(spark, method):
+    config = BootstrapConfig(replicas=40, seed=4, ci_method=method, **FITTED)
+    few = observations(spark, ("few",), 12)  # below the fit's weight: Kaplan-Meier, with values of its own
+    got = {r["node_id"]: r for r in bootstrap.bootstrap_intervals(observations(spark, ("n",), 200).unionByName(few), config, "seq").collect()
+           if r["metric"] == "power_density"}
+    assert {k: r["ci_method"] for k, r in got.items()} == {"n": method, "few": method}
+    for r in got.values():
+        assert r["lower"] < r["estimate"] < r["upper"]
+
+
+def test_weibull_jackknife_without_admitted_nodes(spark):
+    obs = observations(spark, ("n",), 60)
+    assert bootstrap.weibull_jackknife(obs, BootstrapConfig(), "seq") is None
+    none = BootstrapConfig(**{**FITTED, "min_in_range_weight": 1e6})
+    assert bootstrap.weibull_jackknife(obs, none, "seq").collect() == []
+    one = spark.createDataFrame([("n", datetime(2024, 1, 1), 1, 8.0, 0.0, 1.0, 0.0, "in", True)], OBS_SCHEMA)
+    sole = BootstrapConfig(**{**FITTED, "min_in_range_weight": 0.5})
+    r = bootstrap.weibull_jackknife(one, sole, "seq").first()
+    assert r is None or r["d2"] != r["d2"]  # nothing is left without the only record
+
+
 def test_refined_bounds_by_formula(spark):
     normal, rng = NormalDist(), np.random.default_rng(6)
     draws, jack, estimate = np.sort(rng.gamma(4, 1, 200)), rng.gamma(3, 0.01, 80), 3.7
