@@ -1,14 +1,14 @@
-"""Special functions Spark SQL lacks: the log-gamma function as an expression, the others as Arrow-batched scalar UDFs on top of numpy."""
+"""Special functions Spark SQL lacks, as expressions; log-gamma also in numpy for code that already runs in a task."""
 
 from __future__ import annotations
 
 import math
 
+from collections.abc import Callable
+
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Lanczos coefficients (g = 7, n = 9).
 _LANCZOS = (
@@ -42,65 +42,43 @@ def log_gamma_of(x: Column) -> Column:
     return F.when(small, out - F.ln(x)).otherwise(out)
 
 
-def gamma_p(a: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Regularised lower incomplete gamma: power series below a + 1, continued fraction above."""
-    a, x = np.broadcast_arrays(np.asarray(a, dtype=float), np.asarray(x, dtype=float))
-    out = np.zeros(x.shape)
-    positive = x > 0
-    with np.errstate(divide="ignore", invalid="ignore", over="ignore", under="ignore"):
-        front = np.exp(a * np.log(np.where(positive, x, 1.0)) - x - log_gamma(a))
-        low = positive & (x < a + 1.0)
-        if low.any():
-            al, xl = a[low], x[low]
-            term = 1.0 / al
-            total, n = term.copy(), al.copy()
-            for _ in range(1000):
-                n = n + 1.0
-                term = term * xl / n
-                total = total + term
-                if np.all(np.abs(term) < np.abs(total) * 1e-16):
-                    break
-            out[low] = total * front[low]
-        high = positive & ~low
-        if high.any():
-            ah, xh = a[high], x[high]
-            tiny = 1e-300
-            b = xh + 1.0 - ah
-            c = np.full_like(b, 1.0 / tiny)
-            d = 1.0 / b
-            h = d.copy()
-            for i in range(1, 1000):
-                an = -i * (i - ah)
-                b = b + 2.0
-                d = an * d + b
-                d = 1.0 / np.where(np.abs(d) < tiny, tiny, d)
-                c = b + an / c
-                c = np.where(np.abs(c) < tiny, tiny, c)
-                step = d * c
-                h = h * step
-                if np.all(np.abs(step - 1.0) < 1e-15):
-                    break
-            out[high] = 1.0 - front[high] * h
-    return np.clip(out, 0.0, 1.0)
-
-
-def normal_cdf(z: np.ndarray) -> np.ndarray:
-    z = np.asarray(z, dtype=float)
-    half = 0.5 * gamma_p(np.full(z.shape, 0.5), z * z / 2.0)
-    return np.where(z >= 0, 0.5 + half, 0.5 - half)
-
-
-@F.pandas_udf(T.DoubleType())
-def log_gamma_udf(x: pd.Series) -> pd.Series:
-    return pd.Series(log_gamma(x.to_numpy(dtype=float)))
-
-
-@F.pandas_udf(T.DoubleType())
-def normal_cdf_udf(z: pd.Series) -> pd.Series:
-    return pd.Series(normal_cdf(z.to_numpy(dtype=float)))
-
-
-@F.pandas_udf(T.DoubleType())
-def gamma_cdf_udf(x: pd.Series, shape: pd.Series, scale: pd.Series) -> pd.Series:
-    ratio = np.maximum(x.to_numpy(dtype=float) / scale.to_numpy(dtype=float), 0.0)
-    return pd.Series(gamma_p(shape.to_numpy(dtype=float), ratio))
+def _bound(x: Column, f: Callable[[Column], Column]) -> Column:
+    """``f(x)`` with ``x`` evaluated once, however often ``f`` names it."""
+    return F.get(F.transform(F.array(x), f), F.lit(0))
+
+
+def gamma_p_of(a: Column, x: Column) -> Column:
+    """Regularised lower incomplete gamma for a > 0: power series below a + 1, continued fraction above; zero for x <= 0.
+
+    Series and fraction are summed from their far end, whose distance grows with the root of ``a``, so
+    they hold for any shape.
+    """
+    def value(p: Column) -> Column:
+        a, x, root = p["a"], p["x"], F.sqrt(p["a"])
+        front = F.exp(a * F.ln(x) - x - log_gamma_of(a))
+        far = lambda n, slope: F.sequence((n + slope * root).cast("int"), F.lit(1), F.lit(-1))
+        series = F.aggregate(far(30.0, 9.0), F.lit(1.0), lambda s, i: 1.0 + s * x / (a + i)) / a
+        rest = F.aggregate(far(100.0, 10.0), F.lit(0.0), lambda s, i: i * (i - a) / (x + 2.0 * i + 1.0 - a - s))
+        inside = F.when(x < a + 1.0, front * series).otherwise(1.0 - front / (x + 1.0 - a - rest))
+        return F.when(x > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), inside))).when(x.isNotNull(), 0.0)
+
+    return F.when(a.isNotNull(), _bound(F.struct(a.cast("double").alias("a"), x.cast("double").alias("x")), value))
+
+
+def normal_cdf_of(z: Column) -> Column:
+    """Distribution function of the normal law: a series within three deviations, a continued fraction beyond, so that tails keep their digits."""
+    def value(z: Column) -> Column:
+        x, square = F.abs(z), z * z
+        series, fraction = F.lit(1.0), x
+        for i in range(40, 0, -1):
+            series = 1.0 + series * square / (2.0 * i + 1.0)
+            fraction = x + float(i) / fraction
+        density = F.exp(-0.5 * square) / math.sqrt(2 * math.pi)
+        tail = density / fraction
+        return F.when(x < 3.0, 0.5 + density * z * series).when(z > 0, 1.0 - tail).otherwise(tail)
+
+    return _bound(z.cast("double"), value)
+
+
+def gamma_cdf_of(x: Column, shape: Column, scale: Column) -> Column:
+    return gamma_p_of(shape, x / scale)

@@ -1,7 +1,7 @@
 """Weibull, lognormal and gamma candidates compared on one censored sample.
 
 Lognormal and gamma likelihoods of the in-range part depend only on a few weighted sums,
-so they are aggregates.  Distribution functions that SQL lacks are scalar UDFs.
+so they are aggregates; distribution functions that SQL lacks are expressions.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from anemora.config import ParametricConfig
-from anemora.functions.special import gamma_cdf_udf, log_gamma_of, normal_cdf_udf
+from anemora.functions.special import gamma_cdf_of, log_gamma_of, normal_cdf_of
 from anemora.operators.ordered import MAX_ROWS_PER_RANGE, order_rows
 
 _EPS = 1e-15
@@ -52,8 +52,8 @@ def family_cdf(family: str, value: Column) -> Column:
                       1.0 - F.exp(-F.pow(value / F.col("weibull_scale"), F.col("weibull_shape"))))
     if family == "lognormal":
         z = (F.ln(value) - F.col("lognormal_mu")) / F.col("lognormal_sigma")
-        return F.when(F.col("lognormal_sigma").isNotNull(), normal_cdf_udf(z))
-    return F.when(F.col("gamma_shape").isNotNull(), gamma_cdf_udf(value, F.col("gamma_shape"), F.col("gamma_scale")))
+        return F.when(F.col("lognormal_sigma").isNotNull(), normal_cdf_of(z))
+    return F.when(F.col("gamma_shape").isNotNull(), gamma_cdf_of(value, F.col("gamma_shape"), F.col("gamma_scale")))
 
 
 def _open(p: Column) -> Column:

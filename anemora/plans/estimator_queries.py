@@ -278,8 +278,8 @@ def special_values(spark, sf_dir):
     """The special functions of the estimators over the quantities."""
     x = F.col("x")
     rows = table(spark, sf_dir, "lineitem").select((F.col("l_quantity") / 20).alias("x")).distinct()
-    return rows.select("x", special.log_gamma_udf(x).alias("log_gamma"), F.exp(special.log_gamma_udf(x)).alias("gamma"),
-                       special.gamma_cdf_udf(x, F.lit(3.0), F.lit(1.0)).alias("lower_gamma_3"), (2 * special.normal_cdf_udf(x * 2**0.5) - 1).alias("erf"))
+    return rows.select("x", special.log_gamma_of(x).alias("log_gamma"), F.exp(special.log_gamma_of(x)).alias("gamma"),
+                       special.gamma_cdf_of(x, F.lit(3.0), F.lit(1.0)).alias("lower_gamma_3"), (2 * special.normal_cdf_of(x * 2**0.5) - 1).alias("erf"))
 
 
 @query("bootstrap_labels", f"""WITH {OBS}, {_RECORDS}, n AS (
@@ -347,6 +347,45 @@ def parametric_select(spark, sf_dir):
     return parametric.compare_models(sample, weibull.fit_weibull(sample, min_in_weight=100.0))
 
 
+def _gamma_p_sql(a: str, x: str) -> str:
+    """The lower incomplete gamma by its power series, 400 terms from the far end; enough for the shapes and speeds at hand."""
+    return (f"exp({a}*ln({x}) - {x} - lgamma({a})) / {a} * list_reduce(list_prepend(1e0, list_transform(range(400, 0, -1), lambda i: CAST(i AS DOUBLE))), lambda s, i: 1 + s*{x}/({a} + i))")
+
+
+def _normal_sql(z: str) -> str:
+    """The normal law by its series in odd double factorials, 200 terms from the far end."""
+    return (f"0.5 + exp(-0.5*{z}*{z})/sqrt(2*pi())*{z} * "
+            f"list_reduce(list_prepend(1e0, list_transform(range(200, 0, -1), lambda i: CAST(i AS DOUBLE))), lambda s, i: 1 + s*{z}*{z}/(2*i + 1))")
+
+
+_CANDIDATES = f"""
+mo AS (SELECT node_id, sum(weight) AS w, sum(weight*value)/sum(weight) AS m, sum(weight*ln(value))/sum(weight) AS ml, sum(weight*value*value)/sum(weight) AS mm,
+              sum(weight*ln(value)*ln(value))/sum(weight) AS mll FROM sample WHERE kind = 'in' GROUP BY 1),
+par AS (SELECT *, sqrt(mll - ml*ml) AS sd, m*m/(mm - m*m) AS shape, (mm - m*m)/m AS scale FROM mo WHERE w >= 20),
+pts AS (SELECT s.*, w, sd, ml, shape, scale, (ln(value) - ml)/sd AS z, value/scale AS y FROM sample s JOIN par USING (node_id)),
+cdf AS (SELECT *, greatest(1e-15, least({_normal_sql("z")}, 1 - 1e-15)) AS pl, greatest(1e-15, least({_gamma_p_sql("shape", "y")}, 1 - 1e-15)) AS pg FROM pts),
+lim AS (SELECT node_id, sum(weight * CASE kind WHEN 'left' THEN ln(pl) ELSE ln(1 - pl) END) AS ll, sum(weight * CASE kind WHEN 'left' THEN ln(pg) ELSE ln(1 - pg) END) AS lg
+        FROM cdf WHERE kind <> 'in' GROUP BY 1),
+upto AS (SELECT node_id, w, pl, pg, sum(weight) OVER (PARTITION BY node_id ORDER BY value) / w AS share FROM cdf WHERE kind = 'in'),
+ks AS (SELECT node_id, max(abs(share - pl)) AS lognormal_ks_statistic, max(abs(share - pg)) AS gamma_ks_statistic FROM upto GROUP BY 1),
+fam AS (SELECT p.node_id, w, total_weight, w*(-ml - ln(sd) - 0.5*ln(2*pi()) - 0.5*(mll - ml*ml)/(sd*sd)) + coalesce(ll, 0) AS lognormal_log_likelihood,
+               w*((shape - 1)*ml - m/scale - shape*ln(scale) - lgamma(shape)) + coalesce(lg, 0) AS gamma_log_likelihood, lognormal_ks_statistic, gamma_ks_statistic
+        FROM par p JOIN totals USING (node_id) JOIN ks USING (node_id) LEFT JOIN lim USING (node_id))"""
+
+
+@query("parametric_candidates", f"""WITH {OBS}, {_RECORDS}, {_TOTALS}, {_CANDIDATES} SELECT node_id, lognormal_log_likelihood, gamma_log_likelihood,
+  4 - 2*lognormal_log_likelihood AS lognormal_aic, 2*ln(total_weight) - 2*gamma_log_likelihood AS gamma_bic, lognormal_ks_statistic, gamma_ks_statistic,
+  {_pvalue_sql("lognormal_ks_statistic", "w")} AS lognormal_ks_pvalue, {_pvalue_sql("gamma_ks_statistic", "w")} AS gamma_ks_pvalue FROM fam""",
+       "lognormal_log_likelihood gamma_log_likelihood lognormal_aic gamma_bic lognormal_ks_statistic gamma_ks_statistic lognormal_ks_pvalue gamma_ks_pvalue")
+def parametric_candidates(spark, sf_dir):
+    """The candidates beside Weibull: likelihood, criteria and distance of every node."""
+    sample = _sample(spark, sf_dir)
+    config = parametric.ParametricConfig(min_in_weight=20.0, ks_min_weight=20.0)
+    out = parametric.compare_models(sample, weibull.fit_weibull(sample, min_in_weight=1.0), config=config).where("in_weight >= 20")
+    return out.select("node_id", "lognormal_log_likelihood", "gamma_log_likelihood", "lognormal_aic", "gamma_bic", "lognormal_ks_statistic",
+                      "gamma_ks_statistic", "lognormal_ks_pvalue", "gamma_ks_pvalue")
+
+
 @query("node_power")
 def node_power(spark, sf_dir):
     """The power stage: sample, both estimators, method choice, report row."""
