@@ -13,7 +13,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from anemora.functions.scalars import micros, ratio
-from anemora.operators.ordered import MAX_ROWS_PER_RANGE, order_rows
+from anemora.operators.ordered import order_rows
+
+#: Rows of a time range; a stacked row holds both sides and both matches, 150 to 250 bytes of a task's memory.
+MAX_ROWS_PER_RANGE = 1_000_000
 
 
 def asof_join(left: DataFrame, right: DataFrame, *, ts: str = "timestamp", by: Sequence[str] = (),

@@ -7,8 +7,9 @@ is cut into contiguous ranges of its order columns.  Windows then run inside a r
 a range needs from others (a running total, the last known value, the last few rows) is
 computed from one small row per range and joined back.
 
-At most ``rows / max_rows`` keys are hot, and all their cuts together number at most as many again.  These
-tables stay in Spark; adaptive execution decides by their size how they are joined.
+At most ``rows / max_rows`` keys are hot, and all their cuts together number at most as many again.  The cuts
+are broadcast: joined by a shuffle of the keys, the rows of a hot key would meet in one task, and the windows over its
+ranges would keep that partitioning.
 """
 
 from __future__ import annotations
@@ -171,8 +172,13 @@ def order_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], *,
         checkpoint_ready(df.sparkSession)
         df = df.checkpoint()
     cuts = _range_cuts(df, heavy, keys, order, max_rows, depth)
-    rows = _tag(df.join(cuts, keys, "left"), order)
-    hot = _tag(df.join(cuts, keys, "inner"), order)
+    # Twice as many partitions as ranges, so that few tasks hold several; a given number is not merged by size.
+    session = df.sparkSession
+    ranges = cuts.agg(F.sum(F.size("__cuts") + 1)).first()[0] or 0
+    width = max(int(session.conf.get("spark.sql.shuffle.partitions")), 2 * ranges)
+    cuts = F.broadcast(cuts)
+    rows = _tag(df.join(cuts, keys, "left"), order).repartition(width, *keys, _RANGE)
+    hot = _tag(df.join(cuts, keys, "inner"), order).repartition(width, *keys, _RANGE)
     return OrderedRows(rows, hot, tuple(keys), tuple(order))
 
 

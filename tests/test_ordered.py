@@ -89,3 +89,13 @@ def test_weighted_quantiles(spark, skewed, limit):
             assert got.loc[k, name] == pytest.approx(want)
             at = min(int(np.searchsorted(g["w"].cumsum().to_numpy(), p * g["w"].sum(), side="right")), len(v) - 1)
             assert step.loc[k, name] == v[at]
+
+
+def test_ranges_of_a_hot_key_lie_in_several_tasks(spark):
+    """Windows run per range: rows of one key (or of no key) must not meet in one partition before them."""
+    rows = spark.range(400).select(F.lit("hot").alias("k"), F.col("id").alias("t"), (F.col("id") % 7).alias("v"))
+    for keys in ([], ["k"]):
+        ordered = order_rows(rows, keys, ["t"], max_rows=40).last_known(b=F.col("v"))
+        placed = ordered.dataframe().groupBy(F.spark_partition_id().alias("p")).count().collect()
+        assert sum(r["count"] for r in placed) == 400
+        assert len(placed) > 2 and max(r["count"] for r in placed) < 300
