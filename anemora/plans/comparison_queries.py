@@ -160,4 +160,6 @@ def uncensored_resource(spark, sf_dir):
 @query("resource_summary")
 def resource_summary(spark, sf_dir):
     """The resource stages in one plan, down to the node summary."""
-    return stages.compute_resource(obs(spark, sf_dir), stages.ResourceOptions(min_in_weight=100.0, tie="event_id"))["node_summary"].drop("geometry")
+    # Stages the summary does not read are not built: parts of the bootstrap would run for nothing.
+    options = stages.ResourceOptions(min_in_weight=100.0, tie="event_id")
+    return stages.compute_resource(obs(spark, sf_dir), options, include=["node_summary"])["node_summary"].drop("geometry")

@@ -41,3 +41,14 @@ def test_query(spark, oracle, name):
     want = [tuple(_plain(r[i]) for i in index) for r in relation.fetchall()]
     order = lambda r: tuple((v is None, str(v)) for v in r)
     assert sorted(got, key=order) == sorted(want, key=order)
+
+
+def test_resource_summary_builds_no_bootstrap(spark, monkeypatch):
+    """The summary of nodes does not read the bootstrap, parts of which run where it is built."""
+    from anemora.operators import bootstrap
+
+    def fail(*args, **options):
+        raise AssertionError("built")
+
+    monkeypatch.setattr(bootstrap, "bootstrap_summary", fail)
+    assert QUERIES["resource_summary"](spark, SF).columns
