@@ -197,28 +197,45 @@ class _Records:
             cells = np.array([[int((self.strata == s).sum()) for s in STRATA]])
         return Draws(self.config, self.length, self.strata, cells, part, self.own, self.after)
 
-    def sample(self, draws: Draws | None, replica: int = BASELINE) -> tuple:
-        """Clamped speeds and weights of a replicate, or of the records themselves."""
+    def _drawn(self, draws: Draws | None, replica: int) -> tuple:
+        """Positions, clamped speeds, whether they are known, and where labels are redrawn their shares."""
         config, replicated = self.config, replica != BASELINE
         index, rng = draws.at(replica) if replicated else (np.arange(self.own), None)
         raw = self.raw[index]
         if replicated and config.apply_rmse_noise and config.rmse_mode == "velocity" and config.rmse > 0:
             limit = config.noise_truncation * config.rmse
-            raw = np.maximum(raw + np.clip(rng.standard_normal(index.size) * config.rmse, -limit, limit), 0.0)
-        speed = np.clip(raw, config.thresholds.lower, config.thresholds.upper)
+            noise = rng.standard_normal(index.size)
+            noise *= config.rmse
+            raw += np.clip(noise, -limit, limit, out=noise)
+            np.maximum(raw, 0.0, out=raw)
+        speed = np.clip(raw, config.thresholds.lower, config.thresholds.upper, out=raw)
         known = ~np.isnan(speed)
+        shares = None
         if replicated and config.label_strategy == "label_resample":
             b, i, a, used = (x[index] for x in (self.below, self.inside, self.above, self.used))
             uniform = rng.random(index.size)
             sure = (used > 0) & (np.maximum(np.maximum(b, i), a) >= config.min_confidence)
             is_b, is_i = uniform < b, (uniform >= b) & (uniform < b + i)
-            b, i, a = (np.where(sure, hit.astype(float), share)
-                       for hit, share in ((is_b, b), (is_i, i), (~is_b & ~is_i, a)))
+            shares = (*(np.where(sure, hit.astype(float), share) for hit, share in ((is_b, b), (is_i, i), (~is_b & ~is_i, a))), used)
+        return index, speed, known, shares
+
+    def sample(self, draws: Draws | None, replica: int = BASELINE) -> tuple:
+        """Clamped speeds and weights of a replicate, or of the records themselves."""
+        index, speed, known, shares = self._drawn(draws, replica)
+        if shares is not None:
+            b, i, a, used = shares
             w_in, w_left, w_right, s_in = np.where(known, i, 0.0), b, a, i
         else:
             w_in, w_left, w_right, s_in, used = (x[index] for x in (self.w_in, self.w_left, self.w_right, self.s_in, self.used))
         return np.where(known, speed, 0.0), w_in, w_left, w_right, s_in, used
 
+    def weighted(self, draws: Draws | None, replica: int) -> tuple[np.ndarray, np.ndarray]:
+        """Scaled speeds and in-range weights of a replicate's records that have such a weight."""
+        index, speed, known, shares = self._drawn(draws, replica)
+        w = self.w_in[index] if shares is None else np.where(known, shares[1], 0.0)
+        some = w > 0
+        return np.where(known, speed, 0.0)[some] * self.scale, w[some]
+
 
 def _prepared(obs: DataFrame, config: BootstrapConfig, tie: str | None, settings: DataFrame | None = None) -> DataFrame:
     """Records with weights, posteriors, stratum; speeds stay raw because noise comes first.
@@ -267,7 +284,7 @@ def replicate_table(obs: DataFrame, config: BootstrapConfig, tie: str | None = N
 def _sums(sample: tuple, config: BootstrapConfig, scale: float) -> tuple:
     speed, w, w_left, w_right, s_in, used = sample
     v = speed * scale
-    return (float(w.sum()), float(np.dot(w, v)), float(np.dot(w, v**3)), float(np.dot(w, w)),
+    return (float(w.sum()), float(np.dot(w, v)), float(np.dot(w, v * v * v)), float(np.dot(w, w)),
             float(np.dot(w, (1.5 * config.air_density * v * v) ** 2)), float(w_left.sum()), float(w_right.sum()), float(s_in.sum()), float(used.sum()))
 
 
@@ -306,11 +323,15 @@ def _dealt(rows: DataFrame, config: BootstrapConfig, max_records: int) -> tuple[
     places = F.array(F.struct(F.col("part").alias("part"), F.lit(False).alias("after")), F.struct(before.cast("int").alias("part"), F.lit(True).alias("after")))
     chosen = F.when(F.col("__off") < room, places).otherwise(F.slice(places, 1, 1))
     dealt = both.withColumn("__p", F.explode(chosen)).withColumns({"part": F.col("__p.part"), "after": F.col("__p.after")}).drop("__p", "__n", "__off", "__parts")
-    return dealt.repartition("node_id", "part"), facts
+    return spread(dealt, "node_id", "part"), facts
 
 
 def _many_parts(rows: DataFrame, config: BootstrapConfig, max_records: int) -> DataFrame:
-    """Nodes of several parts.  Two passes draw the same records: sums and histograms, then the values around the quantiles."""
+    """Nodes of several parts.  Two passes draw the same records: sums and histograms, then the values around the quantiles.
+
+    What the passes return is read several times and costs all draws, so it is written down: a row per part and replicate,
+    and a row per node and replicate.
+    """
     dealt, facts = _dealt(rows, config, max_records)
 
     def start(group: pd.DataFrame, fact: pd.DataFrame):
@@ -324,17 +345,18 @@ def _many_parts(rows: DataFrame, config: BootstrapConfig, max_records: int) -> D
         out = []
         for replica in range(BASELINE, config.replicas):
             sample = records.sample(draws, replica)
-            v, w = sample[0] * records.scale, sample[1]
+            some = sample[1] > 0
+            v, w = sample[0][some] * records.scale, sample[1][some]
             bins = np.searchsorted(edges * records.scale, v, side="right")
             top = np.full(edges.size + 1, -np.inf)
-            np.maximum.at(top, bins[w > 0], v[w > 0])
+            np.maximum.at(top, bins, v)
             out.append((key[0], replica, *_sums(sample, config, records.scale), records.scale,
                         np.bincount(bins, weights=w, minlength=edges.size + 1), np.where(np.isfinite(top), top, np.nan)))
         return pd.DataFrame(out, columns=["node_id", "replica", *_SUMS, "scale", "mass", "top"])
 
     head = "node_id string, replica int, "
-    partial = dealt.groupBy("node_id", "part").cogroup(facts.groupBy("of_node", "of_part")).applyInPandas(
-        first, head + ", ".join(f"{s} double" for s in _SUMS) + ", scale double, mass array<double>, top array<double>")
+    partial = held(dealt.groupBy("node_id", "part").cogroup(facts.groupBy("of_node", "of_part")).applyInPandas(
+        first, head + ", ".join(f"{s} double" for s in _SUMS) + ", scale double, mass array<double>, top array<double>"))
     key = ["node_id", "replica"]
     sums = partial.groupBy(*key).agg(*[F.sum(s).alias(s) for s in _SUMS], F.max("scale").alias("scale"))
     cell = partial.select(*key, F.posexplode(F.arrays_zip("mass", "top")).alias("bin", "m")).groupBy(*key, "bin").agg(
@@ -347,27 +369,33 @@ def _many_parts(rows: DataFrame, config: BootstrapConfig, max_records: int) -> D
         hit = F.col("upto") >= F.col("total") * p * (1 - 1e-12)
         ask += [F.min(F.when(hit, F.struct("bin", (F.col("upto") - F.col("mass")).alias("base"), "prev", "total"))).alias(name)]
     forced = _forced(config, F.col("used"), F.col("wl"), F.col("wr"))
-    asked = sums.join(run.groupBy(*key).agg(*ask), key, "left").withColumn("whole", ~forced)
+    asked = held(sums.join(run.groupBy(*key).agg(*ask), key, "left").withColumn("whole", ~forced))
+    fitted = not asked.where("whole").isEmpty()
 
     def second(key: tuple, group: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(group):
             fact = wanted["edges"].notna()
             records, draws, edges = start(group, wanted[fact])
+            ends = np.concatenate([[-np.inf], edges * records.scale, [np.inf]])
             for row in wanted[~fact].itertuples(index=False):
-                v, w, *_ = records.sample(draws, int(row.replica))
-                v, w = (v * records.scale)[w > 0], w[w > 0]
-                bins = np.searchsorted(edges * records.scale, v, side="right")
-                keep = np.ones(v.size, bool) if row.whole else np.isin(bins, [b for b in (row.b50, row.b90, row.b99) if b is not None and b == b])
-                pair, count = np.unique(np.stack([v[keep], w[keep], bins[keep]]), axis=1, return_counts=True)
-                out.append(pd.DataFrame({"node_id": row.node_id, "replica": row.replica, "v": pair[0], "w": pair[1], "bin": pair[2].astype(int), "n": count}))
+                v, w = records.weighted(draws, int(row.replica))
+                if not row.whole:
+                    keep = np.zeros(v.size, bool)
+                    for b in {int(b) for b in (row.b50, row.b90, row.b99) if b is not None and b == b}:
+                        keep |= (v >= ends[b]) & (v < ends[b + 1])
+                    v, w = v[keep], w[keep]
+                v, w, count = _counted(v, w)
+                out.append(pd.DataFrame({"node_id": row.node_id, "replica": row.replica, "v": v, "w": w, "bin": np.searchsorted(ends[1:-1], v, side="right"), "n": count}))
         return pd.concat(out) if out else pd.DataFrame(columns=["node_id", "replica", "v", "w", "bin", "n"])
 
     wanted = asked.select(*key, "whole", *[F.col(f"{n}.bin").alias(f"b{n[1:]}") for n in QUANTILES]).join(
         facts.select(F.col("of_node").alias("node_id"), "of_part"), "node_id")
     wanted = wanted.unionByName(facts.withColumnRenamed("of_node", "node_id"), allowMissingColumns=True)
     values = dealt.groupBy("node_id", "part").cogroup(wanted.groupBy("node_id", "of_part")).applyInPandas(
-        second, head + "v double, w double, bin int, n long").groupBy(*key, "v", "w", "bin").agg(F.sum("n").alias("n"))
+        second, head + "v double, w double, bin int, n long")
+    if fitted:
+        values = held(values)
 
     def settle(key: tuple, found: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
         out = list(key)
@@ -388,9 +416,18 @@ def _many_parts(rows: DataFrame, config: BootstrapConfig, max_records: int) -> D
                        else float(earlier + min(1.0, (p * total - before) / w[i]) * (v[i] - earlier)))
         return pd.DataFrame([out], columns=["node_id", "replica", *QUANTILES])
 
-    quantiles = values.groupBy(*key).cogroup(asked.select(*key, *QUANTILES).groupBy(*key)).applyInPandas(
+    quantiles = spread(values, *key).groupBy(*key).cogroup(asked.select(*key, *QUANTILES).groupBy(*key)).applyInPandas(
         settle, head + ", ".join(f"{n} double" for n in QUANTILES))
     out = asked.drop(*QUANTILES).join(quantiles, key, "left")
+    total = F.col("wi") + F.col("wl") + F.col("wr")
+    lower, upper = config.thresholds.lower, config.thresholds.upper
+    tail = config.tail_surrogate if config.tail_surrogate is not None else upper
+    cube = F.pow("scale", F.lit(3))
+    cubes = (F.col("wvvv") + F.col("wl") * lower**3 * cube + F.col("wr") * tail**3 * cube) / total
+    km = F.when((total > 0) & (cubes > 0), 0.5 * config.air_density * cubes)
+    names = [f.strip().split(" ")[0] for f in _ROW.split(",")]
+    if not fitted:
+        return out.withColumns({"power_density": km, "method": F.lit("kaplan_meier")}).select(*names)
     sides = asked.where("whole").select(*key, F.explode(F.array(
         F.struct(F.lit("left").alias("kind"), F.lit(config.thresholds.lower).alias("value"), F.col("wl").alias("weight")),
         F.struct(F.lit("right").alias("kind"), F.lit(config.thresholds.upper).alias("value"), F.col("wr").alias("weight")))).alias("p")).select(*key, "p.*")
@@ -401,15 +438,17 @@ def _many_parts(rows: DataFrame, config: BootstrapConfig, max_records: int) -> D
     out = out.join(fits, key, "left")
     weibull = F.col("whole") & F.coalesce("sound", F.lit(False)) & (F.col("wi") >= config.min_in_range_weight)
     density = 0.5 * config.air_density * F.pow(F.col("weibull_scale") * F.col("scale"), F.lit(3)) * F.exp(log_gamma_of(1.0 + 3.0 / F.col("weibull_shape")))
-    total = F.col("wi") + F.col("wl") + F.col("wr")
-    lower, upper = config.thresholds.lower, config.thresholds.upper
-    tail = config.tail_surrogate if config.tail_surrogate is not None else upper
-    cube = F.pow("scale", F.lit(3))
-    cubes = (F.col("wvvv") + F.col("wl") * lower**3 * cube + F.col("wr") * tail**3 * cube) / total
-    km = F.when((total > 0) & (cubes > 0), 0.5 * config.air_density * cubes)
     return out.withColumns({
         "power_density": F.when(weibull, density).otherwise(km), "method": F.when(weibull, "weibull").otherwise("kaplan_meier"),
-    }).select(*[f.strip().split(" ")[0] for f in _ROW.split(",")])
+    }).select(*names)
+
+
+def _counted(v: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct pairs in order, and how often each occurs."""
+    order = np.lexsort((w, v))
+    v, w = v[order], w[order]
+    first = np.flatnonzero(np.r_[True, (v[1:] != v[:-1]) | (w[1:] != w[:-1])][:v.size])
+    return v[first], w[first], np.diff(np.r_[first, v.size])
 
 
 def _forced(config: BootstrapConfig, used, left, right):
@@ -655,7 +694,8 @@ def refined_levels(method: str, alpha: float):
 def bootstrap_summary(obs: DataFrame, config: BootstrapConfig, tie: str | None = None, max_records: int | None = MAX_RECORDS_PER_TASK,
                       settings: DataFrame | None = None) -> DataFrame:
     """One wide row per node: label counts and shares, every metric's interval, methods used, notes."""
-    replicates = replicate_table(obs, config, tie, max_records, settings)
+    # The intervals and the notes on methods read the table, whose rows cost all draws.
+    replicates = held(replicate_table(obs, config, tie, max_records, settings))
     intervals = intervals_of(replicates, config, None if config.ci_method == "percentile" else jackknife(obs, config, tie, settings))
     entries = {}
     for m in METRICS:

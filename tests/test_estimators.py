@@ -282,6 +282,25 @@ def test_records_of_large_nodes_carry_numbers_only(spark):
     assert facts.count() == dealt.select("node_id", "part").distinct().count() and {"cells", "edges"} <= set(facts.columns)
 
 
+@pytest.mark.parametrize("resampling", ["iid", "stationary"])
+def test_draws_of_large_nodes_are_not_repeated(spark, resampling):
+    """The plan of a large node's replicates draws once more, for the values around the quantiles; the first pass is written down."""
+    config = BootstrapConfig(replicas=3, resampling=resampling, block_length=4, criteria=KaplanMeierCriteria(min_total_observations=1))
+    for table in (bootstrap.replicate_table(observations(spark), config, "seq", max_records=60),
+                  bootstrap.bootstrap_intervals(observations(spark), config, "seq", max_records=60)):
+        plan = table._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("FlatMapCoGroupsInPandas") == 2  # the second pass, and the quantiles from its values
+
+
+def test_values_and_weights_are_counted_like_numpy():
+    rng = np.random.default_rng(8)
+    v, w = rng.integers(0, 5, 60) / 4.0, rng.integers(1, 3, 60) / 2.0
+    pair, count = np.unique(np.stack([v, w]), axis=1, return_counts=True)
+    for got, want in zip(bootstrap._counted(v, w), (pair[0], pair[1], count)):
+        assert got.tolist() == want.tolist()
+    assert [x.size for x in bootstrap._counted(np.zeros(0), np.zeros(0))] == [0, 0, 0]
+
+
 def test_bootstrap_is_independent_of_partitioning(spark):
     config = BootstrapConfig(replicas=20, seed=9)
     obs = observations(spark, size=120).withColumn("timestamp", F.date_trunc("day", "timestamp"))
