@@ -85,3 +85,25 @@ def test_recall_of_candidates():
         found[rows] = (met & near).mean()
     print(found)
     assert min(found.values()) >= 0.9
+
+
+def test_simhash_finds_all_nearest_pairs(spark, monkeypatch):
+    """Pairs whose fingerprints differ in few bits are candidates by SimHash's own search, whatever the tables draw."""
+    draw = np.random.default_rng(9)
+    base = draw.integers(0, 1 << 63, 40)
+    rows = []
+    for g, x in enumerate(base.tolist()):
+        for k, bits in enumerate([(), (1,), (5, 40), (3, 17, 60)]):
+            rows.append((4 * g + k, x ^ sum(1 << b for b in bits), int(draw.integers(0, 1 << 62))))
+    rows.append((160, rows[0][1], 5))
+    monkeypatch.setattr(similar, "tables", lambda n: [(-1, -1)])  # a table that only equal fingerprints share
+    frame = spark.createDataFrame(rows, "node bigint, high bigint, low bigint")
+    root = {n: n for n, _, _ in rows}
+
+    def top(n):
+        return n if root[n] == n else top(root[n])
+
+    for r in similar.candidates(frame, len(rows)).collect():
+        root[top(r.a)] = top(r.b)
+    assert len({top(n) for n, _, _ in rows}) == 40
+    assert all(top(4 * g) == top(4 * g + k) for g in range(40) for k in range(4)) and top(160) == top(0)
