@@ -197,27 +197,35 @@ def _mask(bits: list[int]) -> int:
     return sum(1 << b for b in bits)
 
 
-def links(prints: DataFrame, reach: int = 3) -> DataFrame:
-    """Links ``(a, b)`` between distinct fingerprints that keep all components of "at most ``reach`` bits apart".
+def probes(prints: DataFrame, reach: int) -> tuple[list[tuple[int, int, bool]], list[int]]:
+    """``(mask, flip, own)`` of every partition's values that a fingerprint is dealt to, and all bits in the order of their groups.
 
-    Every fingerprint is put into the bucket of its value in each partition, and probes the buckets within the
-    partition's threshold.  A bucket above ``BUCKET_ROWS`` is dealt on by the bits it does not fix: of
-    ``reach + 1`` parts of them one must agree.  Inside a bucket all rows are
-    compared, in blocks if they are many, and a spanning forest of the links is returned, not the pairs.
+    Two fingerprints at most ``reach`` bits apart meet under some mask: one by its own value, the other by a flip within the threshold.
     """
     rows, ones, together = statistics(prints)
     groups = bit_groups(together, ones, rows)
     plan = allocate([distances(h) for h in histograms(prints, groups)], rows, reach)
-    order = [b for g in groups for b in g]
-    probes = []
+    out = []
     for i, j, t in plan:
         bits = [b for g in groups[i:j] for b in g]
         for k in range(t + 1):
-            probes += [(_signed(_mask(bits)), _signed(_mask(list(c))), k == 0) for c in combinations(bits, k)]
-    probe = F.explode(F.array(*[F.struct(F.lit(m).cast("long").alias("mask"), F.lit(x).cast("long").alias("flip"), F.lit(own).alias("own")) for m, x, own in probes]))
+            out += [(_signed(_mask(bits)), _signed(_mask(list(c))), k == 0) for c in combinations(bits, k)]
+    return out, [b for g in groups for b in g]
+
+
+def links(prints: DataFrame, reach: int = 3) -> DataFrame:
+    """Links ``(a, b)`` between distinct fingerprints that keep all components of "at most ``reach`` bits apart".
+
+    Every fingerprint is put into the bucket of its value in each partition, and probes the buckets within the
+    partition's threshold.  A bucket above ``BUCKET_ROWS`` is dealt on by the bits it does not fix: of
+    ``reach + 1`` parts of them one must agree.  Inside a bucket all rows are
+    compared, in blocks if they are many, and a spanning forest of the links is returned, not the pairs.
+    """
+    dealt_to, order = probes(prints, reach)
+    probe = F.explode(F.array(*[F.struct(F.lit(m).cast("long").alias("mask"), F.lit(x).cast("long").alias("flip"), F.lit(own).alias("own")) for m, x, own in dealt_to]))
     dealt = prints.select("fingerprint", probe.alias("p")).select("fingerprint", F.col("fingerprint").bitwiseXOR(F.col("p.flip")).alias("shape"), "p.mask", "p.own")
     dealt = dealt.withColumn("value", F.col("shape").bitwiseAND(F.col("mask")))
-    found, masks = [], {m for m, _, _ in probes}
+    found, masks = [], {m for m, _, _ in dealt_to}
     for level in range(SPLITS + 1):
         sizes = dealt.groupBy("mask", "value").agg(F.count(F.lit(1)).alias("n"), F.max("own").alias("has_own")).where("n > 1 and has_own")
         sizes = sizes.select(F.col("mask").alias("_mask"), F.col("value").alias("_value"), "n").checkpoint()

@@ -1,4 +1,4 @@
-"""Near-duplicates by SimHash: its links and wider tables propose, the exact Jaccard similarity of word shingles decides."""
+"""Near-duplicates by SimHash: its partition search and wider tables propose, the exact Jaccard similarity of word shingles decides."""
 
 from __future__ import annotations
 
@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from anemora.llm.common import components, local_forest, mix, slices, text_bytes
-from anemora.llm.simhash import BUCKET_ROWS, _majority, _signed, links, shingle_hashes
+from anemora.llm.simhash import BUCKET_ROWS, _majority, _signed, probes, shingle_hashes
 from anemora.session import checkpoint_ready
 
 #: Words of a shingle, and the least similarity of near-duplicates as a fraction.
@@ -121,21 +121,20 @@ def _propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))], ["a", "b"])
 
 
-def nearest(classes: DataFrame) -> DataFrame:
-    """Links ``(a, b)`` that keep the components of all pairs whose first halves differ in at most ``NEAREST`` bits, by ``simhash.links``."""
-    first = classes.groupBy("high").agg(F.min("node").alias("first")).checkpoint()
-    one, other = (first.select(F.col("high").alias(f"high_{c}"), F.col("first").alias(c)) for c in "ab")
-    found = links(first.select(F.col("high").alias("fingerprint")), NEAREST).select(F.col("a").alias("of_a"), F.col("b").alias("of_b"))
-    apart = found.join(one, F.col("of_a") == F.col("high_a")).join(other, F.col("of_b") == F.col("high_b")).select("a", "b")
-    equal = classes.select("node", "high").join(first, "high").where("node != first").select(F.col("node").alias("a"), F.col("first").alias("b"))
-    return apart.union(equal)
-
-
 def candidates(classes: DataFrame, rows: int) -> DataFrame:
-    """Links ``(a, b)`` that keep the components of the nearest pairs and of those that share a bucket and differ in at most ``REACH`` bits."""
-    table = F.explode(F.array(*[F.struct(F.lit(t).alias("t"), F.lit(h).cast("long").alias("h"), F.lit(x).cast("long").alias("l")) for t, (h, x) in enumerate(tables(rows))]))
+    """Links ``(a, b)`` that keep the components of the pairs that share a bucket and differ in at most ``REACH`` bits.
+
+    Buckets are those of the tables and those of SimHash's partitions and probes, in which all pairs meet whose first halves differ in at
+    most ``NEAREST`` bits.
+    """
+    nearest, _ = probes(classes.select(F.col("high").alias("fingerprint")), NEAREST)
+    masks = {m: -1 - i for i, m in enumerate(dict.fromkeys(m for m, _, _ in nearest))}
+    places = [(t, h, x, 0) for t, (h, x) in enumerate(tables(rows))] + [(masks[m], m, 0, flip) for m, flip, _ in nearest]
+    long = lambda x, name: F.lit(x).cast("long").alias(name)
+    table = F.explode(F.array(*[F.struct(F.lit(t).alias("t"), long(h, "h"), long(x, "l"), long(flip, "x")) for t, h, x, flip in places]))
+    shape = F.col("high").bitwiseXOR(F.col("m.x")).bitwiseAND(F.col("m.h"))
     dealt = classes.select("node", "high", "low", table.alias("m")).select(
-        "node", "high", "low", F.col("m.t").alias("t"), F.xxhash64(F.col("high").bitwiseAND(F.col("m.h")), F.col("low").bitwiseAND(F.col("m.l"))).alias("value"))
+        "node", "high", "low", F.col("m.t").alias("t"), F.xxhash64(shape, F.col("low").bitwiseAND(F.col("m.l"))).alias("value"))
     hot = dealt.groupBy("t", "value").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BUCKET_ROWS)
     hot = hot.select(F.col("t").alias("_t"), F.col("value").alias("_value"), F.ceil(F.col("n") / BUCKET_ROWS).cast("int").alias("blocks")).checkpoint()
     if hot.isEmpty():
@@ -145,8 +144,7 @@ def candidates(classes: DataFrame, rows: int) -> DataFrame:
         near = near.withColumn("block", F.pmod("node", F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     lists = near.groupBy("t", "value", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi")).agg(
         *[F.collect_list(c).alias(c) for c in ("node", "high", "low", "block")]).where(F.size("node") > 1)
-    wide = lists.select("node", "high", "low", "block", (F.col("lo") == F.col("hi")).alias("single")).mapInArrow(_propose, "a bigint, b bigint")
-    return nearest(classes).union(wide)
+    return lists.select("node", "high", "low", "block", (F.col("lo") == F.col("hi")).alias("single")).mapInArrow(_propose, "a bigint, b bigint")
 
 
 # --- verification ---

@@ -93,9 +93,9 @@ def test_simhash_finds_all_nearest_pairs(spark, monkeypatch):
     base = draw.integers(0, 1 << 63, 40)
     rows = []
     for g, x in enumerate(base.tolist()):
-        for k, bits in enumerate([(), (1,), (5, 40), (3, 17, 60)]):
-            rows.append((4 * g + k, x ^ sum(1 << b for b in bits), int(draw.integers(0, 1 << 62))))
-    rows.append((160, rows[0][1], 5))
+        low = int(draw.integers(0, 1 << 62))
+        rows += [(4 * g + k, x ^ sum(1 << b for b in bits), low) for k, bits in enumerate([(), (1,), (5, 40), (3, 17, 60)])]
+    rows.append((160, rows[0][1], rows[0][2]))
     monkeypatch.setattr(similar, "tables", lambda n: [(-1, -1)])  # a table that only equal fingerprints share
     frame = spark.createDataFrame(rows, "node bigint, high bigint, low bigint")
     root = {n: n for n, _, _ in rows}
