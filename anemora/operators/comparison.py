@@ -95,20 +95,37 @@ def reference_rows(scopes: DataFrame, *, bounds: RangeThresholds = RangeThreshol
                         F.col("power_density_w_m2").alias("power_density_model"), "kaplan_meier_selection_reasons", *modelled)
 
 
+def _reference_records(references: DataFrame, bounds: RangeThresholds | None = None) -> DataFrame:
+    """The reference as observations: in range all of them, or labelled by where they lie; strictly outside the bounds is censored."""
+    v = F.col("speed")
+    label = F.lit("in") if bounds is None else F.when(v < bounds.lower, "below").when(v > bounds.upper, "above").otherwise("in")
+    return references.select(
+        *KEYS, "timestamp", v.alias("pred_wind_speed"), *[(label == k).cast("double").alias(f"prob_range_{k}") for k in ("below", "in", "above")],
+        label.alias("range_flag"), F.lit(True).alias("range_flag_confident"))
+
+
 def with_intervals(rows: DataFrame, observations: DataFrame, references: DataFrame, config: BootstrapConfig) -> DataFrame:
-    """Add bootstrap bounds.  The reference resamples its speeds without class noise or bounds."""
+    """Add bootstrap bounds to the rows of all scopes.  The reference resamples its speeds without class noise or bounds.
+
+    The censored scope has the global scope's sample statistics and so their bounds; those of its density come from draws of the
+    speeds censored at ``config.thresholds``.  Rows without model statistics of their own state the sample's, as their bounds do.
+    """
     def keyed(df):
         return df.withColumn("node_id", F.concat_ws("/", "dataset", "scope"))
 
-    free = replace(config, apply_rmse_noise=False, rmse_mode="none", thresholds=RangeThresholds(1e-9, 1e9))
-    plain = references.select(
-        *KEYS, "timestamp", F.col("speed").alias("pred_wind_speed"), F.lit(0.0).alias("prob_range_below"), F.lit(1.0).alias("prob_range_in"),
-        F.lit(0.0).alias("prob_range_above"), F.lit("in").alias("range_flag"), F.lit(True).alias("range_flag_confident"))
-    bounds = bootstrap_intervals(keyed(observations), config).unionByName(bootstrap_intervals(keyed(plain), free))
+    plain = replace(config, apply_rmse_noise=False, rmse_mode="none")
+    free = bootstrap_intervals(keyed(_reference_records(references)), replace(plain, thresholds=RangeThresholds(1e-9, 1e9)))
+    everything, density = F.col("node_id") == "reference/global", F.col("metric") == "power_density"
+    free = free.withColumn("node_id", F.explode(F.when(
+        everything & ~density, F.array("node_id", F.lit("reference/global_censored"))).otherwise(F.array("node_id"))))
+    held_back = references.where(F.col("scope") == "global").withColumn("scope", F.lit("global_censored"))
+    censored = bootstrap_intervals(keyed(_reference_records(held_back, config.thresholds)), plain).where(density)
+    bounds = bootstrap_intervals(keyed(observations), config).unionByName(free).unionByName(censored)
     wide = bounds.groupBy("node_id").agg(*[
         F.max(F.when(F.col("metric") == source, F.col(part))).alias(f"{name}_{part}")
         for name, source in (("mean_speed", "mean_speed"), ("p50", "p50"), ("p90", "p90"), ("p99", "p99"), ("power_density_model", "power_density"))
         for part in ("lower", "upper")])
+    rows = rows.withColumns({f"{m}_model": F.coalesce(f"{m}_model", m) for m in ("mean_speed", *_P)})
     return rows.withColumn("node_id", F.concat_ws("/", "dataset", "scope")).join(wide, "node_id", "left").drop("node_id")
 
 

@@ -115,14 +115,16 @@ def _matched(spark, sf_dir):
     return node, reference, held(asof.synchronise(node, reference, right_sequence="event_id"))
 
 
+def _compared(observations, references):
+    return comparison.model_rows(observations, min_in_weight=100.0).unionByName(
+        comparison.reference_rows(references, min_in_weight=100.0), allowMissingColumns=True)
+
+
 @query("comparison_rows")
 def comparison_rows(spark, sf_dir):
     """Model and reference by scope: statistics, label mix, model power."""
     node, reference, matched = _matched(spark, sf_dir)
-    observations = comparison.observation_scopes(node, matched)
-    references = comparison.reference_scopes(reference, matched)
-    return comparison.model_rows(observations, min_in_weight=100.0).unionByName(
-        comparison.reference_rows(references, min_in_weight=100.0), allowMissingColumns=True)
+    return _compared(comparison.observation_scopes(node, matched), comparison.reference_scopes(reference, matched))
 
 
 @query("comparison_intervals")
@@ -131,8 +133,7 @@ def comparison_intervals(spark, sf_dir):
     node, reference, matched = _matched(spark, sf_dir)
     observations = comparison.observation_scopes(node, matched)
     references = comparison.reference_scopes(reference, matched)
-    rows = comparison.model_rows(observations, min_in_weight=100.0)
-    return comparison.with_intervals(rows, observations, references, BootstrapConfig(replicas=40, seed=5))
+    return comparison.with_intervals(_compared(observations, references), observations, references, BootstrapConfig(replicas=40, seed=5))
 
 
 @query("reference_statistics", f"""WITH {REF} SELECT 'reference' AS dataset, 'global' AS scope, avg(wind_speed) AS mean_speed, quantile_cont(wind_speed, 0.5) AS p50,
